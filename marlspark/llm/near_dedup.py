@@ -6,8 +6,10 @@ first 125 bins make 25 bands of 5. Texts with equal shingle sets become one clas
 large groups of copies cost one row for each bucket. In a bucket every class is paired with one centre (a star), so
 the pairs are no more than the rows. Pairs are confirmed on the full shingle sets. A star can miss a link between two
 classes neither of which is linked to the centre. Further rounds therefore take as centres classes that are not yet
-joined with the first, up to 1, 4, 16, ... in a bucket, until each of those has been one: then every two classes that
-share a bucket are in one component or have been compared. Nothing is capped.
+joined with the first. In a bucket of up to 32 classes this goes on until each of those has been one: then every two of
+its classes are in one component or have been compared. A larger bucket has three more stars, each of the class of the
+highest degree left, so that pairs stay in proportion to rows; its other links are found by the 24 other bands, where
+the two classes share smaller buckets, or other centres.
 
 Defined results: a null, empty or blank text has no shingles and is linked with nothing; a row with a null doc_id is
 kept and has no component; rows with the same doc_id are one document with each of their texts; an empty table gives
@@ -27,6 +29,8 @@ from marlspark.llm.frames import components, map_arrow, row_key, small_batches,
 from marlspark.llm.words import BASE, STEP, mix, shingles, split_words, text_bytes
 
 BINS, BANDS, ROWS = 128, 25, 5
+#: Buckets of up to so many classes are compared until nothing is open; larger ones get so many more stars.
+SMALL, STARS = 32, 3
 
 
 def _donors(tries: int) -> np.ndarray:
@@ -122,17 +126,17 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def class_links(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Labels (node, root) of the classes of member (key, node, degree); None if no two are linked."""
+    """Labels (node, root) of the classes of member (key, node, size, degree); None if no two are linked."""
     labels, seen, done, n = None, None, None, 0
     while True:
         state = member.withColumn("root", F.col("node")) if labels is None else member.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         if n:
             tops = state.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.max(F.struct("degree", "node", "root")).alias("_top")).where("_lo <> _hi")
             state = written(state.join(tops.select("key", F.col("_top.root").alias("main")), "key"), "near-open")
-            free = state.where("root <> main").join(seen, ["key", "node"], "left_anti")
+            free = state.where("root <> main").where(F.lit(n <= STARS) | (F.col("size") <= SMALL)).join(seen, ["key", "node"], "left_anti")
         else:
             free = state
-        slot = F.pmod(F.xxhash64("node"), F.lit(4 ** max(n - 1, 0)))
+        slot = F.when(F.col("size") <= SMALL, F.pmod(F.xxhash64("node"), F.lit(4 ** max(n - 1, 0)))).otherwise(0)
         centre = free.groupBy("key", slot.alias("_s")).agg(F.max(F.struct("degree", "node", "root")).alias("_c"))
         centre = written(centre.select("key", F.col("_c.node").alias("centre"), F.col("_c.root").alias("centre_root")), "near-centres")
         if centre.isEmpty():
@@ -166,7 +170,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     member = written(rows.join(shared, "key"), "near-members")
     # the centre of a bucket is the class that shares the largest buckets: as a rule the text that others were made from
     degree = member.groupBy("node").agg(F.sum("size").alias("degree"))
-    member = written(member.join(degree, "node").select("key", "node", "degree"), "near-members")
+    member = written(member.join(degree, "node").select("key", "node", "size", "degree"), "near-members")
     classes = written(named.groupBy("node").agg(F.min("doc_id").alias("least")), "near-classes")
     wanted = classes.join(degree.select("node"), "node", "left_semi").select(F.col("least").alias("_id")).distinct()
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(wanted, "_id", "left_semi").select("_text")
