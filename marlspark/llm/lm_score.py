@@ -54,48 +54,44 @@ class Lattice:
     """log P(word | spelled by pieces) for each class: a distribution over words, as an end follows the last piece."""
 
     def __init__(self, pieces: list[bytes], scores: np.ndarray, stop: np.ndarray):
-        self.index = {p: tuple(s) for p, s in zip(pieces, np.exp(scores).tolist(), strict=True)}
+        self.index = {p: i for i, p in enumerate(pieces)}
+        self.scores, self.stop = scores, np.asarray(stop)
         self.longest = max(map(len, pieces))
-        self.stop = stop
 
-    def forward(self, word: bytes) -> list[float]:
-        """The recursion over places, in log space by a shift of each place's sums by their largest."""
-        index, longest, k, n = self.index, self.longest, len(self.stop), len(word)
-        sums = [None] * (n + 1)
-        sums[0] = ([1.0] * k, 0.0)
-        for a in range(n):
-            here = sums[a]
-            if here is None:
-                continue
-            values, shift = here
-            top = max(values)
-            if top < 1e-150:  # far below one: carry on from a larger base
-                values, shift = [v * 1e150 for v in values], shift - 150 * math.log(10)
-            for b in range(a + 1, min(n, a + longest) + 1):
-                p = index.get(word[a:b])
-                if p is None:
-                    continue
-                there = sums[b]
+    def _same_length(self, words: list[bytes]) -> np.ndarray:
+        """The log-space recursion over places, for all words of one length at once; sums holds the last places only."""
+        n, size, get = len(words), len(words[0]), self.index.get
+        none = np.full((n, self.scores.shape[1]), -np.inf)
+        sums = {0: np.zeros_like(none)}
+        for a in range(size):
+            here = sums.pop(a)
+            for b in range(a + 1, min(size, a + self.longest) + 1):
+                there = sums.get(b)
                 if there is None:
-                    sums[b] = ([v * q for v, q in zip(values, p, strict=True)], shift)
-                else:
-                    old, base = there
-                    if base == shift:
-                        for j in range(k):
-                            old[j] += values[j] * p[j]
-                    elif base < shift:  # raise what is there to the new base
-                        f = math.exp(max(base - shift, -700))
-                        sums[b] = ([o * f + v * q for o, v, q in zip(old, values, p, strict=True)], shift)
-                    else:
-                        f = math.exp(max(shift - base, -700))
-                        for j in range(k):
-                            old[j] += values[j] * f * p[j]
-            sums[a] = None
-        values, shift = sums[n]
-        return [math.log(max(v, 1e-320)) + shift + s for v, s in zip(values, self.stop, strict=True)]
-
-
-def _count(classes: dict[str, int], rest: int, seed_mod: None = None):
+                    there = sums[b] = none.copy()
+                piece = np.fromiter((get(w[a:b], -1) for w in words), np.int64, n)
+                hit = np.flatnonzero(piece >= 0)
+                if len(hit):
+                    there[hit] = np.logaddexp(there[hit], here[hit] + self.scores[piece[hit]])
+        return sums[size] + self.stop
+
+    def forward_all(self, words: list[bytes], block: int = 4096) -> np.ndarray:
+        out = np.zeros((len(words), self.scores.shape[1]))
+        size = np.array([len(w) for w in words])
+        order = np.argsort(size, kind="stable")
+        a = 0
+        while a < len(order):
+            b = min(int(np.searchsorted(size[order], size[order[a]], side="right")), a + block)
+            rows = order[a:b]
+            out[rows] = self._same_length([words[i] for i in rows])
+            a = b
+        return out
+
+    def forward(self, word: bytes) -> list[float]:
+        return self.forward_all([word])[0].tolist()
+
+
+def _count(classes: dict[str, int], rest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, bytes], int] = {}
 
@@ -159,65 +155,77 @@ class Model:
         stop = np.log((uses[:, -1] + 1.0) / (uses.sum(1) + len(pieces) + 1.0))
         self.stop = [*stop.tolist(), math.log((everywhere[-1] + 1.0) / (everywhere.sum() + len(pieces) + 1.0))]
 
+    def words(self, counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """Natural log of P(word) in each class (columns), from its counts and its spelled log-probabilities (the last: of all classes)."""
+        n, v = np.array(self.n, np.float64), np.array(self.v, np.float64)
+        some = n > 0
+        with np.errstate(divide="ignore"):
+            seen = np.log(np.maximum(counts - DISCOUNT, 0) / np.maximum(n, 1))
+            left = np.log(np.where(some, DISCOUNT * v / np.maximum(n, 1), 1.0))
+            whole = np.log(np.maximum(counts.sum(1) - DISCOUNT, 0) / max(self.total, 1))
+            rest = math.log(DISCOUNT * self.types / self.total) if self.total else 0.0
+        everywhere = np.logaddexp(whole, rest + spelled[:, -1])[:, None]
+        unseen = left + np.logaddexp(math.log(GLOBAL_SHARE) + everywhere, math.log(1 - GLOBAL_SHARE) + spelled[:, :-1])
+        return np.logaddexp(seen, unseen)
+
     def word(self, counts: list[int], spelled: list[float]) -> list[float]:
-        """Natural log of P(word) in each class."""
-        total, types = max(self.total, 1), max(self.types, 1)
-        c = sum(counts)
-        whole = max(c - DISCOUNT, 0) / total + (DISCOUNT * types / total if self.total else 1.0) * math.exp(max(spelled[-1], -600))
-        out = []
-        for c, n, v, s in zip(counts, self.n, self.v, spelled, strict=False):
-            left = DISCOUNT * v / n if n else 1.0
-            p = (max(c - DISCOUNT, 0) / n if n else 0.0) + left * (GLOBAL_SHARE * whole + (1 - GLOBAL_SHARE) * math.exp(max(s, -600)))
-            out.append(math.log(p) if p > 1e-250 else math.log(left * (1 - GLOBAL_SHARE)) + s)
-        return out
+        return self.words(np.array([counts], np.float64), np.array([spelled], np.float64))[0].tolist()
 
 
 def _score_words(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(model.pieces, model.scores, np.array(model.stop))
         for batch in batches:
-            out = []
-            for word, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                # the end has no spelling: its probability is its share
-                out.append(model.word(counts, lattice.forward(word) if word != END else [-700.0] * len(model.stop)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sum(c) for c in batch.column(1).to_pylist()], pa.int64()), pa.array(out, pa.list_(pa.float64()))], names=["word", "c", "lp"])
+            words = batch.column(0).to_pylist()
+            counts = np.array(batch.column(1).to_pylist(), np.float64).reshape(len(words), -1)
+            spelled = lattice.forward_all(words)
+            spelled[[w == END for w in words]] = -700.0  # the end has no spelling: its probability is its share
+            out = model.words(counts, spelled)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts.sum(1).astype(np.int64)), lists], names=["word", "c", "lp"])
 
     return run
 
 
-def _score_texts(head: dict[bytes, tuple], k: int, total: int, types: int):
-    """A row with the sums over frequent words for each text (word: a space and its row), and one for each other word."""
+def _score_texts(head: dict[bytes, int], table: np.ndarray, total: int, types: int):
+    """A row with the sums over frequent words for each text (word: a space and its row), and one for each other word.
+
+    table: for each frequent word its scores by class, its term of the base score and whether it was seen.
+    """
+    names = ["row", "word", "times", "n_tokens", "n_known", "sums"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = -math.log10(total + types + 1)
+        get = head.get
         for batch in small_batches(batches, "_text"):
-            cols: list[list] = [[] for _ in range(6)]
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows = batch.column(0).to_pylist()
+            sizes, sums = np.zeros(len(rows), np.int64), np.zeros((len(rows), table.shape[1]))
+            row_of, word_of, times_of = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 words = words_of(text)
                 words.append(END)
-                sums, base, known, others = [0.0] * k, 0.0, 0, {}
-                for w, n in Counter(words).items():
-                    hit = head.get(w)
-                    if hit is None:
-                        others[w] = n
-                        continue
-                    c, lp = hit
-                    base += n * (math.log10(c + 1) + low)
-                    known += n * (c > 0)
-                    for j in range(k):
-                        sums[j] += n * lp[j]
-                for c, v in zip(cols, (row, b" %d" % row, 1, len(words), known, [*sums, base]), strict=True):
-                    c.append(v)
-                for w, n in others.items():
-                    for c, v in zip(cols, (row, w, n, 0, 0, None), strict=True):
-                        c.append(v)
-            types_ = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types_, strict=True)], names=["row", "word", "times", "n_tokens", "n_known", "sums"])
+                counted = Counter(words)
+                sizes[i] = len(words)
+                at = np.fromiter((get(w, -1) for w in counted), np.int64, len(counted))
+                n = np.fromiter(counted.values(), np.int64, len(counted))
+                hit = at >= 0
+                sums[i] = n[hit] @ table[at[hit]]
+                other = np.flatnonzero(~hit)
+                if len(other):
+                    keys = list(counted)
+                    row_of.append(np.full(len(other), rows[i]))
+                    word_of += [keys[j] for j in other.tolist()]
+                    times_of.append(n[other])
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * (table.shape[1] - 1)), pa.array(sums[:, :-1].reshape(-1)))
+            ones = pa.array(np.ones(len(rows), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array([b" %d" % r for r in rows], pa.binary()), ones, pa.array(sizes), pa.array(np.rint(sums[:, -1]).astype(np.int64)), flat], names=names)
+            if word_of:
+                none = pa.array(np.zeros(len(word_of), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(row_of)), pa.array(word_of, pa.binary()), pa.array(np.concatenate(times_of)), none, none, pa.nulls(len(word_of), pa.list_(pa.float64()))], names=names)
 
     return run
 
 
-def score_texts(docs: DataFrame, *, learn: Column, vocab_path: str, text: str = "text", classes: str | None = None, keep: dict[str, Column], head: int = 100_000, max_classes: int = 8) -> DataFrame:
+def score_texts(docs: DataFrame, *, learn: Column, vocab_path: str, text: str = "text", classes: str | None = None, keep: dict[str, Column], head: int = 300_000, max_classes: int = 8) -> DataFrame:
     """The columns of keep with n_tokens, n_known, train_tokens, base_score and score (both log10) for each row.
 
     learn: which rows the model learns from. classes: the column with the class of a training text, or None for one
@@ -225,8 +233,8 @@ def score_texts(docs: DataFrame, *, learn: Column, vocab_path: str, text: str =
     """
     cls = F.col(classes).cast("string") if classes else F.lit("")
     frame = docs.select(F.col(text).alias("_text"), cls.alias("_cls"), F.coalesce(learn, F.lit(False)).alias("_learn"))
-    named = [r["_cls"] for r in frame.where("_learn").groupBy("_cls").count().orderBy(F.desc("count"), "_cls").limit(max_classes - 1).collect()]
-    index, k = {c: i for i, c in enumerate(named)}, len(named) + 1
+    named = [r["_cls"] for r in frame.where("_learn").groupBy("_cls").count().orderBy(F.desc("count"), "_cls").limit(max_classes).collect()]
+    index, k = {c: i for i, c in enumerate(named)}, max(len(named), 1)  # any further class is taken together with the last of these
     counted = map_arrow(frame, _count(index, k - 1), "word binary, cls int, n bigint")
     per = [F.coalesce(F.sum(F.when(F.col("cls") == j, F.col("n"))), F.lit(0)) for j in range(k)]
     table = written(counted.groupBy("word").agg(F.array(*per).alias("counts")), "lm-words")
@@ -245,9 +253,10 @@ def score_texts(docs: DataFrame, *, learn: Column, vocab_path: str, text: str =
     model = Model(n, v, types, pieces, grid)
     scored = written(map_arrow(table, _score_words(model), "word binary, c bigint, lp array<double>"), "lm-scores")
     least = max(total / head, 1)
-    frequent = {bytes(r["word"]): (r["c"], tuple(r["lp"])) for r in scored.where(F.col("c") >= least).toLocalIterator()}
+    frequent = scored.where(F.col("c") >= least).select("word", F.concat("lp", F.array(F.log10(F.col("c") + 1) - math.log10(total + types + 1), F.lit(1.0))).alias("s")).collect()
+    index_of, scores = {bytes(r["word"]): i for i, r in enumerate(frequent)}, np.array([r["s"] for r in frequent], np.float64).reshape(len(frequent), k + 2)
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text).alias("_text"), *[c.alias(a) for a, c in keep.items()])
-    parts = map_arrow(numbered.select("row", "_text"), _score_texts(frequent, k, total, types), "row bigint, word binary, times bigint, n_tokens bigint, n_known bigint, sums array<double>")
+    parts = map_arrow(numbered.select("row", "_text"), _score_texts(index_of, scores, total, types), "row bigint, word binary, times bigint, n_tokens bigint, n_known bigint, sums array<double>")
     rare = scored.where(F.col("c") < least)
     joined = parts.join(rare, "word", "left")
     low = F.lit(-math.log10(total + types + 1))
