@@ -6,10 +6,12 @@ first 125 bins make 25 bands of 5. Texts with equal shingle sets become one clas
 large groups of copies cost one row for each bucket. In a bucket every class is paired with one centre (a star), so
 the pairs are no more than the rows. Pairs are confirmed on the full shingle sets. A star can miss a link between two
 classes neither of which is linked to the centre. Further rounds therefore take as centres classes that are not yet
-joined with the first. In a bucket of up to 32 classes this goes on until each of those has been one: then every two of
-its classes are in one component or have been compared. A larger bucket has three more stars, each of the class of the
-highest degree left, so that pairs stay in proportion to rows; its other links are found by the 24 other bands, where
-the two classes share smaller buckets, or other centres.
+joined with the first. This goes on until each of those has been one: then every two classes of a bucket are in one
+component, have been compared, or cannot be linked. The last is what keeps buckets of more than 32 classes cheap: after
+the first star the shingles of the classes of those still open are counted. Of a class with n shingles, u of them in
+no other of these classes, at most n - u are shared with any partner; where that many do not reach the similarity, the
+class leaves the bucket, or the pair is not made. Edited copies that are too far from the original carry shingles of
+their own, so as a rule they go here; the bound is exact, whatever the texts.
 
 Defined results: a null, empty or blank text has no shingles and is linked with nothing; a row with a null doc_id is
 kept and has no component; rows with the same doc_id are one document with each of their texts; an empty table gives
@@ -29,8 +31,8 @@ from marlspark.llm.frames import components, map_arrow, row_key, small_batches,
 from marlspark.llm.words import BASE, STEP, mix, shingles, split_words, text_bytes
 
 BINS, BANDS, ROWS = 128, 25, 5
-#: Buckets of up to so many classes are compared until nothing is open; larger ones get so many more stars.
-SMALL, STARS = 32, 3
+#: In open buckets of more classes the shingles that a class has alone are counted, before any further star.
+SMALL = 32
 
 
 def _donors(tries: int) -> np.ndarray:
@@ -116,6 +118,40 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both.where(near).select("a", "b", "x", "y"), _confirm(percent), "a bigint, b bigint, linked boolean").where("linked").select("a", "b")
 
 
+def _tallied(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """(shingle, times, one of its nodes) of the sets of (node, shingles), summed over up to most shingles at a time."""
+    held, nodes, n = [], [], 0
+
+    def flush() -> pa.RecordBatch:
+        value, first, times = np.unique(np.concatenate(held), return_index=True, return_counts=True)
+        owner = np.repeat(np.array(nodes, np.int64), [len(x) for x in held])[first]
+        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times.astype(np.int64)), pa.array(owner)], names=["shingle", "times", "node"])
+
+    for batch in batches:
+        for node, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            held.append(np.frombuffer(x.as_buffer(), np.uint64))
+            nodes.append(node)
+            n += len(held[-1])
+            if n >= most:
+                yield flush()
+                held, nodes, n = [], [], 0
+    if held:
+        yield flush()
+
+
+def sharable(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows of large (key, node, ...) that can have a link in their bucket, with n and common: shingles, and those also in another class."""
+    some = sets.join(large.select("node").distinct(), "node", "left_semi")
+    tally = map_arrow(some.select("node", "shingles"), _tallied, "shingle bigint, times bigint, node bigint")
+    own = tally.groupBy("shingle").agg(F.sum("times").alias("times"), F.min("node").alias("node")).where("times = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    sized = some.select("node", (F.length("shingles") / 8).cast("bigint").alias("n")).join(own, "node", "left")
+    full = written(large.join(sized.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")), "node"), "near-shares")
+    least = full.groupBy("key").agg(F.min("n").alias("_least"))
+    # the best partner holds all that can be shared and nothing else, but has no fewer shingles than the bucket's smallest class
+    best = F.col("n") + F.greatest("common", "_least") - F.col("common")
+    return full.join(least, "key").where(100 * F.col("common") >= percent * best).drop("_least")
+
+
 def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels (node, root) once edges are added; only the roots at the ends of edges are looked at."""
     root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
@@ -128,22 +164,32 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 def class_links(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """Labels (node, root) of the classes of member (key, node, size, degree); None if no two are linked."""
     labels, seen, done, n = None, None, None, 0
+    none = F.lit(None).cast("bigint")
+    member = member.withColumns({"n": none, "common": none})
     while True:
         state = member.withColumn("root", F.col("node")) if labels is None else member.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         if n:
             tops = state.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.max(F.struct("degree", "node", "root")).alias("_top")).where("_lo <> _hi")
             state = written(state.join(tops.select("key", F.col("_top.root").alias("main")), "key"), "near-open")
-            free = state.where("root <> main").where(F.lit(n <= STARS) | (F.col("size") <= SMALL)).join(seen, ["key", "node"], "left_anti")
+            if n == 1:
+                # what is not open stays so: from here on only these rows are looked at
+                names, large = [*member.columns[:4], "root", "main"], F.col("size") > SMALL
+                shared = sharable(state.where(large).select(*names), sets, percent)
+                state = written(state.where(~large).select(*names, "n", "common").unionByName(shared.select(*names, "n", "common")), "near-members")
+                member = state.drop("root", "main")
+            free = state.where("root <> main").join(seen, ["key", "node"], "left_anti")
         else:
             free = state
-        slot = F.when(F.col("size") <= SMALL, F.pmod(F.xxhash64("node"), F.lit(4 ** max(n - 1, 0)))).otherwise(0)
-        centre = free.groupBy("key", slot.alias("_s")).agg(F.max(F.struct("degree", "node", "root")).alias("_c"))
-        centre = written(centre.select("key", F.col("_c.node").alias("centre"), F.col("_c.root").alias("centre_root")), "near-centres")
+        slot = F.pmod(F.xxhash64("node"), F.lit(4 ** min(n, 30)))
+        centre = free.groupBy("key", slot.alias("_s")).agg(F.max(F.struct("degree", "node", "root", "n", "common")).alias("_c"))
+        centre = written(centre.select("key", F.col("_c.node").alias("centre"), F.col("_c.root").alias("centre_root"), F.col("_c.n").alias("_n"), F.col("_c.common").alias("_common")), "near-centres")
         if centre.isEmpty():
             return labels
         used = centre.select("key", F.col("centre").alias("node"))
         seen = used if seen is None else seen.unionByName(used)
-        pairs = state.join(centre, "key").where("root <> centre_root").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        both = F.least("common", "_common")
+        reach = F.coalesce(100 * both >= percent * (F.col("n") + F.col("_n") - both), F.lit(True))
+        pairs = state.join(centre, "key").where("root <> centre_root").where(reach).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         pairs = written(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "near-pairs")
         done = pairs if done is None else done.unionByName(pairs)
         found = written(confirmed(pairs, sets, percent), "near-links")

@@ -311,6 +311,23 @@ def test_op8_links_that_miss_the_centre(spark):
     assert near_dedup.drop_near_duplicates(df, percent=85).count() == len(set(want.values()))
 
 
+@pytest.mark.parametrize("small", [2, 8])
+def test_op8_large_buckets_lose_no_link(spark, monkeypatch, small):
+    """With every bucket taken as large: pairs whose shared edits link them to each other and not to the centre."""
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    rng = np.random.default_rng(5)
+    words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+    rows = [(900, " ".join(words)), (901, " ".join(words))]
+    for i in range(70):
+        w = list(words)
+        for k in rng.choice(40, int(rng.integers(1, 6)), replace=False):
+            w[5 * k] = f"x{i}_{k}" if rng.random() < 0.7 else f"y{k}"
+        rows += [(10 * i, " ".join(w))] + [(10 * i + 1, " ".join([*w[:-1], "z"]))] * (i % 3 == 0)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want, _ = linked_components(rows, 85)
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, percent=85).collect()} == want
+
+
 def test_op9_schedule(table):
     got = mixing.schedule(table, block_bytes=700, period=50, keep={"doc_id": F.col("doc_id")}).toPandas()
     assert len(got) == table.count()
