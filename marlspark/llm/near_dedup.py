@@ -180,8 +180,10 @@ def class_links(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame |
             free = state.where("root <> main").join(seen, ["key", "node"], "left_anti")
         else:
             free = state
-        slot = F.pmod(F.xxhash64("node"), F.lit(4 ** min(n, 30)))
-        centre = free.groupBy("key", slot.alias("_s")).agg(F.max(F.struct("degree", "node", "root", "n", "common")).alias("_c"))
+        few, many = 4 ** min(n, 30), 4 ** min(max(n - 1, 0), 30)
+        slot = F.pmod(F.xxhash64("node"), F.when(F.col("size") <= SMALL, F.lit(few)).otherwise(F.lit(many)))
+        # once shingles are counted, the text that edited copies were made from is the one with the most shared ones
+        centre = free.groupBy("key", slot.alias("_s")).agg(F.max(F.struct("common", "degree", "node", "root", "n")).alias("_c"))
         centre = written(centre.select("key", F.col("_c.node").alias("centre"), F.col("_c.root").alias("centre_root"), F.col("_c.n").alias("_n"), F.col("_c.common").alias("_common")), "near-centres")
         if centre.isEmpty():
             return labels
