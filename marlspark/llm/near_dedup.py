@@ -8,10 +8,12 @@ the pairs are no more than the rows. Pairs are confirmed on the full shingle set
 classes neither of which is linked to the centre. Further rounds therefore take as centres classes that are not yet
 joined with the first. This goes on until each of those has been one: then every two classes of a bucket are in one
 component, have been compared, or cannot be linked. The last is what keeps buckets of more than 32 classes cheap: after
-the first star the shingles of the classes of those still open are counted. Of a class with n shingles, u of them in
-no other of these classes, at most n - u are shared with any partner; where that many do not reach the similarity, the
-class leaves the bucket, or the pair is not made. Edited copies that are too far from the original carry shingles of
-their own, so as a rule they go here; the bound is exact, whatever the texts.
+the first star each class is reduced to its difference from a hub (the class of the bucket's main component that
+shares most buckets), and the elements of these differences are counted. Two classes share what the hub has, less what
+each lacks of it, plus what their differences share; where even all that a class shares with any other does not reach
+the similarity, the class leaves the bucket, or the pair is not made. Copies edited each in its own way go here; the
+bound is exact, whatever the texts. After the first stars a pair is made in only
+one of the buckets that it shares.
 
 Defined results: a null, empty or blank text has no shingles and is linked with nothing; a row with a null doc_id is
 kept and has no component; rows with the same doc_id are one document with each of their texts; an empty table gives
@@ -31,7 +33,7 @@ from marlspark.llm.frames import components, map_arrow, row_key, small_batches,
 from marlspark.llm.words import BASE, STEP, mix, shingles, split_words, text_bytes
 
 BINS, BANDS, ROWS = 128, 25, 5
-#: In open buckets of more classes the shingles that a class has alone are counted, before any further star.
+#: In open buckets of more classes the differences from the hub are counted, before any further star.
 SMALL = 32
 
 
@@ -139,17 +141,45 @@ def _tallied(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator
         yield flush()
 
 
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (hub, node, x, y), sets x and y: sizes, how many of the hub's shingles are missing, and the symmetric difference, as values of this hub."""
+    for batch in small_batches(batches, "y"):
+        hub, node = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
+        n, m, miss, diffs = [], [], [], []
+        for h, x, y in zip(hub, batch.column(2), batch.column(3), strict=True):
+            s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            d = np.setxor1d(s, t, assume_unique=True)
+            n.append(len(t))
+            m.append(len(s))
+            miss.append((len(s) - len(t) + len(d)) // 2)
+            diffs.append(mix(d ^ h).tobytes())
+        sizes = [pa.array(v, pa.int64()) for v in (n, m, miss)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(mix(hub * BASE + node).view(np.int64)), *sizes, pa.array(diffs, pa.binary())],
+            names=["hub", "node", "pair", "n", "m", "miss", "diff"],
+        )
+
+
 def sharable(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Rows of large (key, node, ...) that can have a link in their bucket, with n and common: shingles, and those also in another class."""
-    some = sets.join(large.select("node").distinct(), "node", "left_semi")
-    tally = map_arrow(some.select("node", "shingles"), _tallied, "shingle bigint, times bigint, node bigint")
-    own = tally.groupBy("shingle").agg(F.sum("times").alias("times"), F.min("node").alias("node")).where("times = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    sized = some.select("node", (F.length("shingles") / 8).cast("bigint").alias("n")).join(own, "node", "left")
-    full = written(large.join(sized.select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")), "node"), "near-shares")
-    least = full.groupBy("key").agg(F.min("n").alias("_least"))
-    # the best partner holds all that can be shared and nothing else, but has no fewer shingles than the bucket's smallest class
-    best = F.col("n") + F.greatest("common", "_least") - F.col("common")
-    return full.join(least, "key").where(100 * F.col("common") >= percent * best).drop("_least")
+    """Rows of large (key, node, hub, ...) that can have a link in their bucket besides that to its hub, with need, give and common.
+
+    Let the hub have m shingles, of which a class of n lacks r; d is the symmetric difference of the two. Two classes
+    share m - r1 - r2 + |d1 and d2| shingles, and the last term is at most what either difference has in common with
+    any other (common). With need = percent * n + (100 + percent) * r and give = (100 + percent) * (m + common) - need, a
+    link asks that the need of each is at most what the other gives.
+    """
+    held = lambda c, x: sets.select(F.col("node").alias(c), F.col("shingles").alias(x))
+    pairs = large.where("node <> hub").select("hub", "node").distinct()
+    both = pairs.join(held("node", "y"), "node").join(held("hub", "x"), "hub").select("hub", "node", "x", "y")
+    diffs = written(map_arrow(both, _differences, "hub bigint, node bigint, pair bigint, n bigint, m bigint, miss bigint, diff binary"), "near-differences")
+    tally = map_arrow(diffs.select("pair", "diff"), _tallied, "shingle bigint, times bigint, node bigint")
+    own = tally.groupBy("shingle").agg(F.sum("times").alias("times"), F.min("node").alias("pair")).where("times = 1").groupBy("pair").agg(F.count(F.lit(1)).alias("own"))
+    common = (F.length("diff") / 8).cast("bigint") - F.coalesce("own", F.lit(0))
+    bound = diffs.join(own, "pair", "left").select("hub", "node", "m", common.alias("common"), (percent * F.col("n") + (100 + percent) * F.col("miss")).alias("need"))
+    bound = bound.select("hub", "node", "common", "need", ((100 + percent) * (F.col("m") + F.col("common")) - F.col("need")).alias("give"))
+    full = written(large.join(bound, ["hub", "node"]), "near-shares")
+    ends = full.groupBy("key").agg(F.min("need").alias("_need"), F.max("give").alias("_give"))
+    return full.join(ends, "key").where("need <= _give AND _need <= give").drop("_need", "_give")
 
 
 def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -162,36 +192,41 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def class_links(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Labels (node, root) of the classes of member (key, node, size, degree); None if no two are linked."""
+    """Labels (node, root) of the classes of member (key, node, size, degree, keys: all keys of the node); None if no two are linked."""
     labels, seen, done, n = None, None, None, 0
     none = F.lit(None).cast("bigint")
-    member = member.withColumns({"n": none, "common": none})
+    marks = ["common", "need", "give"]
+    member = member.withColumns({c: none for c in marks})
     while True:
         state = member.withColumn("root", F.col("node")) if labels is None else member.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         if n:
             tops = state.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.max(F.struct("degree", "node", "root")).alias("_top")).where("_lo <> _hi")
-            state = written(state.join(tops.select("key", F.col("_top.root").alias("main")), "key"), "near-open")
+            hubs = state.groupBy(F.col("root").alias("main")).agg(F.max(F.struct("degree", "node")).alias("_hub"))
+            tops = tops.select("key", F.col("_top.root").alias("main")).join(hubs.select("main", F.col("_hub.node").alias("hub")), "main")
+            state = written(state.join(tops, "key"), "near-open")
             if n == 1:
                 # what is not open stays so: from here on only these rows are looked at
-                names, large = [*member.columns[:4], "root", "main"], F.col("size") > SMALL
-                shared = sharable(state.where(large).select(*names), sets, percent)
-                state = written(state.where(~large).select(*names, "n", "common").unionByName(shared.select(*names, "n", "common")), "near-members")
+                names, large = [*member.columns[:5], "root", "main"], F.col("size") > SMALL
+                # a hub in the bucket was the centre of its first star, so all of the bucket has been compared with it
+                shared = sharable(state.where(large).select(*names, "hub"), sets, percent)
+                state = written(state.where(~large).select(*names, *marks).unionByName(shared.select(*names, *marks)), "near-members")
                 member = state.drop("root", "main")
             free = state.where("root <> main").join(seen, ["key", "node"], "left_anti")
         else:
             free = state
         few, many = 4 ** min(n, 30), 4 ** min(max(n - 1, 0), 30)
         slot = F.pmod(F.xxhash64("node"), F.when(F.col("size") <= SMALL, F.lit(few)).otherwise(F.lit(many)))
-        # once shingles are counted, the text that edited copies were made from is the one with the most shared ones
-        centre = free.groupBy("key", slot.alias("_s")).agg(F.max(F.struct("common", "degree", "node", "root", "n")).alias("_c"))
-        centre = written(centre.select("key", F.col("_c.node").alias("centre"), F.col("_c.root").alias("centre_root"), F.col("_c.n").alias("_n"), F.col("_c.common").alias("_common")), "near-centres")
+        # once differences are counted, the class with the most shared ones is the likeliest to have links
+        centre = free.groupBy("key", slot.alias("_s")).agg(F.max(F.struct("common", "degree", "node", "root", "need", "give", "keys")).alias("_c"))
+        centre = written(centre.select("key", F.col("_c.node").alias("centre"), F.col("_c.root").alias("centre_root"), F.col("_c.need").alias("_need"), F.col("_c.give").alias("_give"), F.col("_c.keys").alias("_keys")), "near-centres")
         if centre.isEmpty():
             return labels
         used = centre.select("key", F.col("centre").alias("node"))
         seen = used if seen is None else seen.unionByName(used)
-        both = F.least("common", "_common")
-        reach = F.coalesce(100 * both >= percent * (F.col("n") + F.col("_n") - both), F.lit(True))
-        pairs = state.join(centre, "key").where("root <> centre_root").where(reach).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        reach = F.coalesce((F.col("need") <= F.col("_give")) & (F.col("_need") <= F.col("give")), F.lit(True))
+        # after the first stars, two classes meet in the least of the buckets that they share, and in no other
+        here = F.col("key") == F.array_min(F.array_intersect("keys", "_keys")) if n else F.lit(True)
+        pairs = state.join(centre, "key").where("root <> centre_root").where(reach).where(here).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
         pairs = written(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "near-pairs")
         done = pairs if done is None else done.unionByName(pairs)
         found = written(confirmed(pairs, sets, percent), "near-links")
@@ -217,8 +252,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     member = written(rows.join(shared, "key"), "near-members")
     # the centre of a bucket is the class that shares the largest buckets: as a rule the text that others were made from
-    degree = member.groupBy("node").agg(F.sum("size").alias("degree"))
-    member = written(member.join(degree, "node").select("key", "node", "size", "degree"), "near-members")
+    degree = member.groupBy("node").agg(F.sum("size").alias("degree"), F.collect_list("key").alias("keys"))
+    member = written(member.join(degree, "node").select("key", "node", "size", "degree", "keys"), "near-members")
     classes = written(named.groupBy("node").agg(F.min("doc_id").alias("least")), "near-classes")
     wanted = classes.join(degree.select("node"), "node", "left_semi").select(F.col("least").alias("_id")).distinct()
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(wanted, "_id", "left_semi").select("_text")
