@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlspark.functions import geometry as G
 from marlspark.functions.names import IMAGE_SUFFIXES, new_stem, parse_stem, suffix
 from marlspark.functions.seeds import permutation_table, stable_seed, stable_seed_column
+from marlspark.operators import assign as A
 from marlspark.operators import relational as R
 
 SEED = 20260723
@@ -256,3 +258,38 @@ def pcg_sample(spark, sf):
     n = pool.count()
     ranks = permutation_table(spark, n, stable_seed(SEED, "CT", "extract"))
     return pool.join(ranks, "place").withColumn("case", F.when(F.col("rank") < 40, F.element_at(F.array(*map(F.lit, ("motion", "noise", "streak", "crop"))), (F.col("rank") % 4 + 1).cast("int"))))
+
+
+@query("""WITH k AS (SELECT p_partkey, p_size::DOUBLE AS s, p_partkey % 4 AS kind FROM part),
+    c AS (SELECT p_partkey, kind, CASE kind WHEN 0 THEN 0.0::DOUBLE ELSE 1.0 END AS l, CASE kind WHEN 0 THEN 0.0::DOUBLE ELSE 2.0 END AS t,
+    CASE kind WHEN 2 THEN s + 1 ELSE s END AS r, CASE kind WHEN 0 THEN 30.0::DOUBLE WHEN 1 THEN 40.0 ELSE 7.0 END AS b FROM k),
+    e AS (SELECT *, CASE WHEN kind = 3 THEN 'missing' WHEN r > 40 OR l >= r THEN 'out of bounds' ELSE '' END AS error FROM c)
+    SELECT p_partkey, CASE WHEN error = '' THEN l END AS l, CASE WHEN error = '' THEN t END AS t, CASE WHEN error = '' THEN r END AS r, CASE WHEN error = '' THEN b END AS b, error FROM e""")
+def roi_bounds(spark, sf):
+    """regions in three encodings, in a frame of 40 by 40; a fourth of the rows has none."""
+    size = F.col("p_size").cast("string")
+    value = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("["), size, F.lit(", 30]"))).when(F.col("p_partkey") % 4 == 1, F.concat(F.lit("[1, 2, "), size, F.lit(", 40]")))
+    value = value.when(F.col("p_partkey") % 4 == 2, F.concat(F.lit('{"x": 1, "y": 2, "width": '), size, F.lit(', "height": 5}')))
+    return t(spark, sf, "part").select("p_partkey", G.roi_bounds(value, F.lit(40), F.lit(40)).alias("roi")).select("p_partkey", "roi.*")
+
+
+@query("""WITH f AS (SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS i FROM orders WHERE o_orderstatus = 'F'),
+    r AS (SELECT o_orderpriority, o_custkey, o_orderkey AS rank, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS i FROM orders
+    WHERE o_orderstatus = 'P' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0))
+    SELECT f.o_orderpriority, f.o_orderkey, r.rank, r.o_custkey FROM f LEFT JOIN r ON f.o_orderpriority = r.o_orderpriority AND f.i = r.i""")
+def reserve_substitutes(spark, sf):
+    """Each failed slot takes the next row of the reserve that is not consumed."""
+    orders = t(spark, sf, "orders")
+    reserve = orders.where("o_orderstatus = 'P'").select("o_orderpriority", F.col("o_orderkey").alias("rank"), "o_custkey")
+    consumed = t(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    failed = orders.where("o_orderstatus = 'F'")
+    return A.substitutes(failed, reserve, consumed, group="o_orderpriority", slot="o_orderkey", rank="rank", key=["o_custkey"])
+
+
+@query()
+def greedy_picks(spark, sf):
+    """Slots of a status with the eligible pick; every fifth slot is constrained, every third source eligible."""
+    orders = t(spark, sf, "orders").select("o_orderstatus", "o_orderkey")
+    slots = orders.where("o_orderkey % 2 = 0").withColumn("constrained", F.col("o_orderkey") % 5 == 0)
+    pool = orders.where("o_orderkey % 2 = 1").select("o_orderstatus", F.col("o_orderkey").alias("rank"), (F.col("o_orderkey") % 3 == 0).alias("eligible"))
+    return A.greedy_picks(slots, pool, group="o_orderstatus", slot="o_orderkey", constrained="constrained", rank="rank", eligible="eligible")
