@@ -5,6 +5,10 @@ shrunk towards a beta prior that is fitted to all hosts by moments, and the verd
 of rules that it fails, is joined back: a document goes if it fails a base rule, or a rule that is enforced at
 its host. A document that fails no rule is kept whatever its host.
 
+Most rules are enforced only at hosts that fail them often. Documents that fail a reliable rule are bad at ordinary
+hosts too: it is enforced everywhere but at hosts that are clearly better than the prior, where a failure is an
+exception.
+
 Defined results: a null or empty text has no words and fails ``base``; a null host is a host of its own; an empty
 table gives an empty result; repeated rows are judged alike; other columns are not looked at.
 """
@@ -38,9 +42,15 @@ MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_r
 
 @dataclass(frozen=True)
 class Limits:
-    """A rule is enforced at a host whose shrunk failure rate is at least max_rate."""
+    """A rule is enforced at a host whose shrunk failure rate is at least max_rate.
+
+    A rule of reliable is also enforced at every other host, unless the posterior rate of the host lies more than
+    spared standard deviations below the mean of the prior.
+    """
 
     max_rate: float = 0.2
+    reliable: tuple[str, ...] = ("symbols",)
+    spared: float = 2.0
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -121,10 +131,16 @@ def host_verdicts(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
     hosts = written(hosts, "hosts")
     rate = {r: F.col(f"f_{r}") / F.col("n_docs") for r in HOST_RULES}
     moments = hosts.agg(F.count(F.lit(1)).alias("n"), F.avg(1 / F.col("n_docs")).alias("inv"), *[F.avg(x).alias(f"m_{r}") for r, x in rate.items()], *[F.avg(x * x).alias(f"s_{r}") for r, x in rate.items()]).first()
+    fails = {}
     for r in HOST_RULES:
         a, b = beta_prior(moments["n"], moments[f"m_{r}"], moments[f"s_{r}"], moments["inv"])
         hosts = hosts.withColumn(f"rate_{r}", (F.col(f"f_{r}") + F.lit(a)) / (F.col("n_docs") + F.lit(a + b)))
-    bad = F.filter(F.array(*[F.when(F.col(f"rate_{r}") >= limits.max_rate, F.lit(r)) for r in HOST_RULES]), lambda x: x.isNotNull())
+        post = F.col(f"rate_{r}")
+        fails[r] = post >= limits.max_rate
+        if r in limits.reliable:
+            deviation = F.sqrt(post * (1 - post) / (F.col("n_docs") + F.lit(a + b + 1)))
+            fails[r] = fails[r] | (post + limits.spared * deviation >= F.lit(a / (a + b)))
+    bad = F.filter(F.array(*[F.when(c, F.lit(r)) for r, c in fails.items()]), lambda x: x.isNotNull())
     return hosts.select("_host", "n_docs", *[f"rate_{r}" for r in HOST_RULES], bad.alias("enforced"))
 
 

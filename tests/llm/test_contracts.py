@@ -139,6 +139,24 @@ def test_op3_hosts(spark):
     assert host_rules.apply_rules(df).count() == 150
 
 
+def test_op3_a_reliable_rule_acts_at_ordinary_hosts(spark):
+    """Hosts below max_rate: symbols are enforced but at the clearly better host, repeated lines are not."""
+    good, bad = "a plain line of thirty different words " + " ".join(f"w{i}" for i in range(30)), " ".join(f"w{i}#" for i in range(30))
+    lines = "\n".join([" ".join(f"v{i}" for i in range(30)), *["x"] * 8])
+    rows = [(100 * h + i, bad if i < 3 else lines if i < 5 else good, f"h{h}") for h in range(10) for i in range(50)]
+    rows += [(5000 + i, bad if i < 1 else good, "better") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = host_rules.rule_report(df).collect()
+    assert not any(r.base_failed for r in got) and sum(list(r.failed) == ["dup_lines"] for r in got) == 20
+    assert {r.doc_id for r in got if not r.kept} == {100 * h + i for h in range(10) for i in range(3)}
+
+
+def test_op3_verdict_acts_on_the_given_tables(spark):
+    got = host_rules.rule_report(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    gone = got.where("NOT kept AND NOT base_failed").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id", "left").toPandas()
+    assert len(gone) and (gone.quality.dropna() == 0).all()
+
+
 def test_op4_shards_fit_and_split_only_when_needed(table):
     limit = 3000
     got = sharding.assign_shards(table, limit=limit, keep=["doc_id", "text"]).collect()
