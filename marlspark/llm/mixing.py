@@ -4,21 +4,28 @@ The texts of a source are dealt in an order by hash and cut into blocks of so ma
 the window of slots from floor(k / w) to ceil((k + 1) / w) for its k-th block; in each slot the earliest deadline of the
 released blocks goes first. So in every prefix of the schedule each source is less than one block away from its share.
 
-Weights are whole multiples of 1 / period, and the schedule repeats after so many slots: it is made for one period on
-the driver (period rows, whatever the data) and blocks find their slot by arithmetic. Places within a source are
-running sums, made in two steps (sums of hash slices, then within a slice), so that no task holds a whole source.
+That holds for the weights as they are: they are whole numbers over their sum without any rounding, and the schedule is
+made over all blocks (one row a block; the driver makes it in one pass and holds a block as three numbers). Places
+within a source are running sums, made in two steps (sums of hash slices, then within a slice), so that no task holds a
+whole source. With a period the weights are rounded to multiples of 1 / period instead, one at least.
 
-Nothing is dropped: when a source ends, its slots stay empty and the others keep theirs.
+Nothing is dropped: when a source ends, no other takes its share; each block of the others stays in its own window, and
+slots in which none may go stay empty.
 
 Defined results: a null source is a source; a null or empty text has 0 bytes and shares the block where it falls; rows
-that are repeated follow each other; a source without a target weight gets the least weight; an empty table gives an
+that are repeated follow each other; a source without a target weight (or with 0) gets the least weight of the others; an empty table gives an
 empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,27 +46,43 @@ def whole_weights(weights: list[float], period: int) -> list[int]:
     return [1 + s for s in slots]
 
 
-def pfair(slots: list[int]) -> list[tuple[int, int]]:
-    """The (source, block) of each slot of a period, by earliest deadline among released blocks."""
-    period = sum(slots)
-    waiting = [(0, i, 0) for i in range(len(slots))]  # release, source, block
+def exact_shares(weights: list[float]) -> list[int]:
+    """Whole numbers in the exact proportion of the weights; a weight of 0 counts as the least of the others."""
+    least = min((w for w in weights if w > 0), default=1.0)
+    parts = [Fraction(w if w > 0 else least) for w in weights]
+    unit = math.lcm(*[x.denominator for x in parts])
+    return [int(x * unit) for x in parts]
+
+
+def pfair_slots(shares: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(source, block, slot) of so many blocks of each source, by earliest deadline among released blocks."""
+    whole = sum(shares)
+    waiting = [(0, i, 0) for i, n in enumerate(blocks) if n]  # release, source, block
     ready: list[tuple[int, int, int]] = []
     heapq.heapify(waiting)
-    out = []
-    for t in range(period):
+    t = 0
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
         while waiting and waiting[0][0] <= t:
             _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * period // slots[i]), i, k))
+            heapq.heappush(ready, (-(-(k + 1) * whole // shares[i]), i, k))
         _, i, k = heapq.heappop(ready)
-        out.append((i, k))
-        if k + 1 < slots[i]:
-            heapq.heappush(waiting, ((k + 1) * period // slots[i], i, k + 1))
-    return out
+        yield i, k, t
+        t += 1
+        if k + 1 < blocks[i]:
+            heapq.heappush(waiting, ((k + 1) * whole // shares[i], i, k + 1))
+
+
+def pfair(slots: list[int]) -> list[tuple[int, int]]:
+    """The (source, block) of each slot of a period."""
+    return [(i, k) for i, k, _ in pfair_slots(slots, slots)]
 
 
-def schedule(docs: DataFrame, *, block_bytes: int, weights: dict[str, float] | None = None, power: float = 0.5, period: int = 1000, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: dict[str, Column], max_sources: int = 10_000) -> DataFrame:
+def schedule(docs: DataFrame, *, block_bytes: int, weights: dict[str, float] | None = None, power: float = 0.5, period: int | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: dict[str, Column], max_sources: int = 10_000) -> DataFrame:
     """The columns of keep with source, n_bytes, place (bytes of its source before it), block, slot and order.
 
+    period: slots after which rounded weights repeat; without, the weights are not rounded.
     weights: target weight by source; without, a source weighs its bytes to the power. Rows go by (slot, order). More
     than max_sources sources are an error, as the weights are handled on the driver.
     """
@@ -75,10 +98,15 @@ def schedule(docs: DataFrame, *, block_bytes: int, weights: dict[str, float] | N
     else:
         target = [weights.get(r["source"], 0.0) for r in found]
     spark = docs.sparkSession
-    slots = whole_weights(target, max(period, 2 * len(found))) if found else []
-    whole = sum(slots)
-    table = spark.createDataFrame([(i, k, t) for t, (i, k) in enumerate(pfair(slots))], "_i int, _k bigint, _t bigint")
-    number = spark.createDataFrame([(r["source"], i, slots[i]) for i, r in enumerate(found)], "_s string, _i int, _q bigint")
+    shares = exact_shares(target) if period is None or not found else whole_weights(target, max(period, 2 * len(found)))
+    made = [array("q") for _ in range(3)]
+    # a row at the end of its source without bytes may start a block
+    for row in pfair_slots(shares, [r["b"] // block_bytes + 1 for r in found]):
+        for column, value in zip(made, row, strict=True):
+            column.append(value)
+    table = spark.createDataFrame(pa.table([pa.array(memoryview(x), pa.int64()) for x in made], ["_i", "block", "slot"]))
+    table = written(table, "mix-slots-of-blocks")
+    number = spark.createDataFrame([(r["source"], i) for i, r in enumerate(found)], "_s string, _i bigint")
     rows = sum(r["n"] for r in found)
     bits = max(0, (rows // 4000).bit_length())
     sliced = frame.withColumn("_slice", F.shiftrightunsigned("order", 64 - bits) if bits else F.lit(0).cast("long"))
@@ -89,9 +117,8 @@ def schedule(docs: DataFrame, *, block_bytes: int, weights: dict[str, float] | N
     placed = sliced.withColumn("_own", F.coalesce(F.sum("n_bytes").over(inside), F.lit(0)))
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_slice") == F.col("_l"))).withColumn("place", F.col("_start") + F.col("_own")).drop("_s", "_l")
     placed = placed.withColumn("block", F.floor(F.col("place") / block_bytes).cast("long"))
-    # both tables have at most 2 * max_sources or period rows of three numbers
-    placed = placed.join(F.broadcast(number), F.col("source").eqNullSafe(F.col("_s"))).withColumn("_k", F.col("block") % F.col("_q"))
-    placed = placed.join(F.broadcast(table), ["_i", "_k"]).withColumn("slot", F.expr("block DIV _q") * F.lit(whole) + F.col("_t"))
+    # number has at most max_sources rows; the table of blocks grows with the data and is broadcast only while small
+    placed = placed.join(F.broadcast(number), F.col("source").eqNullSafe(F.col("_s"))).join(table, ["_i", "block"])
     return placed.select(*[F.col(f"_x_{n}").alias(n) for n in keep], "source", "n_bytes", "place", "block", "slot", F.col("place").alias("order"))
 
 

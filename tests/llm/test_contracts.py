@@ -368,6 +368,32 @@ def test_op9_less_than_one_block_away(weights):
     assert had == slots
 
 
+def within_a_block(rows, weights):
+    """Each block lies in the window of its own weight, so each source is less than one block off in every prefix."""
+    whole = sum(weights.values())
+    return all(math.floor(k / (weights[i] / whole) + 1e-6) <= t < math.ceil((k + 1) / (weights[i] / whole) - 1e-6) for i, k, t in rows)
+
+
+def test_op9_long_schedule_follows_the_unrounded_weights(spark):
+    weights = dict(enumerate([math.sqrt(1 / 3), *[math.sqrt(2 / 57)] * 19, 1e-5]))
+    blocks = [4000, *[1300] * 19, 3]
+    rows = list(mixing.pfair_slots(mixing.exact_shares(list(weights.values())), blocks))
+    assert collections.Counter(i for i, _, _ in rows) == dict(enumerate(blocks)) and len({t for _, _, t in rows}) == len(rows)
+    assert within_a_block(rows, weights)
+
+    df = spark.range(9000).selectExpr("id AS doc_id", "lpad(id, 10, '0') AS text", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 19) END AS source")
+    got = mixing.schedule(df, block_bytes=10, keep={"doc_id": F.col("doc_id")}).toPandas()
+    size = got.groupby("source").n_bytes.sum()
+    assert len(got) == 9000 and not got.duplicated("slot").any() and got.slot.max() > 15000
+    assert within_a_block(got[["source", "block", "slot"]].itertuples(index=False), {s: math.sqrt(b) for s, b in size.items()})
+
+
+def test_op9_weights_of_zero_or_none(spark):
+    df = spark.createDataFrame([(i, "x" * 10, s) for i, s in enumerate("aabbcc" * 20)], "doc_id long, text string, source string")
+    got = mixing.schedule(df, block_bytes=10, weights={"a": 4.0, "b": 1.0}, keep={"doc_id": F.col("doc_id")}).toPandas()
+    assert len(got) == 120 and within_a_block(got[["source", "block", "slot"]].itertuples(index=False), {"a": 4, "b": 1, "c": 1})
+
+
 def test_op10_pieces_and_sequences(table):
     from tokenizers import Tokenizer
 
