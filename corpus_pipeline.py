@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marlspark.llm.frames import written
 from marlspark.llm.host_rules import apply_rules
-from marlspark.llm.mixing import mixed
+from marlspark.llm.mixing import MIXED, mixed
 from marlspark.llm.near_dedup import drop_near_duplicates
 from marlspark.llm.packing import pack_texts
 from marlspark.llm.queries import BLOCK_BYTES, tokenizer_file
@@ -33,13 +33,13 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the order of the Pfair schedule of their sources."""
+    """The documents with their place in the Pfair schedule of their sources, as mix_slot and mix_order."""
     return mixed(docs, block_bytes=BLOCK_BYTES)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and their place in it."""
-    return pack_texts(docs, tokenizer=tokenizer_file("byte_bpe_50k.json"))
+    """The pieces of all documents with their sequence and their place in it; sequences are numbered in mixed order."""
+    return pack_texts(docs, tokenizer=tokenizer_file("byte_bpe_50k.json"), order=MIXED)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup), ("source_mixing", source_mixing), ("best_fit_packing", best_fit_packing)]

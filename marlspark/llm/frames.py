@@ -40,6 +40,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[str], to: str, name: str) -> tuple[DataFrame, int]:
+    """df with the place of each row in the order (from 0, without gaps) as column to, and the number of rows.
+
+    Rows are sorted in ranges; only the number of rows of each range reaches the driver.
+    """
+    keys = [F.asc_nulls_first(c) for c in order]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    placed = written(placed, name)
+    part = F.shiftright("_at", 33)
+    sizes = sorted(tuple(r) for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, total = [], 0
+    for p, n in sizes:
+        starts.append((p, total))
+        total += n
+    table = df.sparkSession.createDataFrame(starts, "_p bigint, _start bigint")
+    # a row for each range
+    joined = placed.withColumn("_p", part).join(F.broadcast(table), "_p")
+    return joined.withColumn(to, F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).select(*df.columns, to), total
+
+
 def row_key(*cols: str | Column) -> list[Column]:
     """128 bits that stand for the values of cols; nulls count as values."""
     told = [F.struct(*cols)]

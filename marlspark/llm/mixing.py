@@ -32,6 +32,10 @@ from pyspark.sql import functions as F
 from marlspark.llm.frames import row_key, written
 
 
+#: Columns that carry the schedule; columns of the input with these names are replaced.
+MIXED = ("mix_slot", "mix_order")
+
+
 def whole_weights(weights: list[float], period: int) -> list[int]:
     """Slots of each source in a period: in proportion by largest remainders, one at least; they sum to period."""
     if period < len(weights):
@@ -123,8 +127,16 @@ def schedule(docs: DataFrame, *, block_bytes: int, weights: dict[str, float] | N
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs in the order of the schedule: dealt into files by ranges of slots and sorted within."""
-    keys = row_key(*docs.columns)
-    found = schedule(docs, keep={"_k0": keys[0], "_k1": keys[1]}, **options).groupBy("_k0", "_k1").agg(F.min("slot").alias("_slot"), F.min("order").alias("_order"))
-    joined = docs.withColumns({"_k0": keys[0], "_k1": keys[1]}).join(written(found, "mix-slots"), ["_k0", "_k1"])
-    return joined.repartitionByRange(F.col("_slot"), F.col("_order"), F.col("_k0")).sortWithinPartitions("_slot", "_order", "_k0").select(*docs.columns)
+    """The rows of docs with mix_slot and mix_order, by which they go in the order of the schedule.
+
+    The order is in these two columns, whatever becomes of the files; rows are also dealt into files by ranges of slots.
+    Rows that are repeated have places of their own.
+    """
+    names = [c for c in docs.columns if c not in MIXED]
+    keys = row_key(*names)
+    rows = written(docs.select(*names, keys[0].alias("_k0"), keys[1].alias("_k1"), F.monotonically_increasing_id().alias("_row")), "mix-docs")
+    found = schedule(rows, keep={c: F.col(c) for c in ("_k0", "_k1", "_row")}, **options)
+    found = found.select("_row", F.col("slot").alias("mix_slot"), F.col("order").alias("mix_order"))
+    joined = rows.join(written(found, "mix-slots"), "_row")
+    order = ["mix_slot", "mix_order", "_k0"]
+    return joined.repartitionByRange(*order).sortWithinPartitions(*order).select(*names, *MIXED)

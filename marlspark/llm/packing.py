@@ -7,6 +7,11 @@ After an epoch the full bins of the best packing are final; its other bins migra
 bin staying together as part of a starting packing there. As few bins stay open, there are fewer islands in each epoch,
 and a last island ends it.
 
+With an order (that of a mixing schedule) islands are ranges of it, of about equal size in each epoch, instead of dealt
+by hash, and sequences are numbered by it: a sequence stands at the mean place of its tokens. An epoch moves tokens only
+within its islands, so a prefix of the sequences differs from the prefix of the order by at most the island at its end
+in each epoch, whatever the amount of data.
+
 Defined results: a null or empty text is its end token alone; rows that are repeated are packed each; an empty table
 gives an empty result; other columns are not looked at.
 """
@@ -24,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspark.llm.frames import map_arrow, small_batches, written
+from marlspark.llm.frames import map_arrow, numbered, small_batches, written
 
 ISLAND, POPULATION, GENERATIONS = 2500, 4, 4
 #: Tokens that a bin may lack and still be final, by epoch.
@@ -60,26 +65,31 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     return lambda text: slow(text) if any(a in text for a in added) else fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
 
 
-def cut_pieces(docs: DataFrame, *, tokenizer: str, end: int, limit: int, doc_id: str, text: str) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece; only the first piece of a text is shorter than limit."""
+def cut_pieces(docs: DataFrame, *, tokenizer: str, end: int, limit: int, doc_id: str, text: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece; only the first piece of a text is shorter than limit.
+
+    Pieces of a text have its columns of order, as _o0, _o1 and so on.
+    """
+    frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)])
+    carried = frame.columns[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in small_batches(batches, "_text"):
             rows = []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for d, t, *o in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 ids = np.append(encode(t or "") if t else np.zeros(0, np.uint32), np.uint32(end)).astype("<u4")
                 stops = list(range(len(ids), 0, -limit))[::-1]
                 start = 0
                 for k, stop in enumerate(stops):
-                    rows.append((d, k, start, stop - start, zlib.crc32(ids[start:stop].tobytes())))
+                    rows.append((d, k, start, stop - start, zlib.crc32(ids[start:stop].tobytes()), *o))
                     start = stop
-            cols = zip(zip(*rows, strict=True), (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True) if rows else []
+            cols = zip(zip(*rows, strict=True), (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), *batch.schema.types[2:]), strict=True) if rows else []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in cols], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in cols], names=["doc_id", "piece", "start", "length", "ids_crc32", *carried])
 
-    frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
-    return map_arrow(frame, run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    types = "".join(f", {c} {frame.schema[c].dataType.simpleString()}" for c in carried)
+    return map_arrow(frame, run, f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint{types}")
 
 
 def best_fit(items: list[int], size: list[int], limit: int, bins: list[list[int]]) -> list[list[int]]:
@@ -160,11 +170,22 @@ def _island(limit: int, epoch: int, last: bool):
     return run
 
 
-def pack(pieces: DataFrame, *, limit: int, epochs: int = 8) -> DataFrame:
-    """pieces (with length up to limit) with sequence_id and offset."""
-    names = pieces.columns
-    rows = written(pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
-    whole = rows.where(F.col("length") >= limit).select(*names, (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+def _in_ranges(open_: DataFrame, islands: int) -> DataFrame:
+    """open_ with its island: so many ranges of bins, by the mean place of their tokens."""
+    bins = open_.groupBy("bin").agg(F.expr("sum(row * length) DIV sum(length)").alias("_at_row"))
+    placed, n = numbered(bins, ["_at_row", "bin"], "_n", "pack-bins")
+    return open_.join(placed.select("bin", F.expr(f"_n DIV {-(-n // islands)}").alias("island")), "bin")
+
+
+def pack(pieces: DataFrame, *, limit: int, epochs: int = 8, order: list[str] | None = None) -> DataFrame:
+    """pieces (with length up to limit) with sequence_id and offset; with order, sequence_id goes by it from 0."""
+    names = [c for c in pieces.columns if not (order and c in order and c.startswith("_o"))]
+    if order:
+        rows, _ = numbered(pieces, order, "row", "pack-pieces")
+        rows = rows.select(*names, "row")
+    else:
+        rows = written(pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
+    whole = rows.where(F.col("length") >= limit).select(*names, "row", (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     out, open_ = whole, rows.where(F.col("length") < limit).withColumn("bin", F.col("row"))
     schema = ", ".join(f"`{n}` {t}" for n, t in open_.dtypes) + ", island bigint, offset bigint, final boolean"
     left, stalled = open_.count(), False
@@ -173,17 +194,27 @@ def pack(pieces: DataFrame, *, limit: int, epochs: int = 8) -> DataFrame:
             break
         islands = -(-left // ISLAND)
         last = stalled or islands == 1 or epoch == epochs - 1
-        dealt = open_.withColumn("island", F.pmod(F.xxhash64(F.lit(epoch), "bin"), F.lit(islands)))
+        dealt = _in_ranges(open_, islands) if order else open_.withColumn("island", F.pmod(F.xxhash64(F.lit(epoch), "bin"), F.lit(islands)))
+        dealt = dealt.select(*open_.columns, "island")
         found = written(dealt.groupBy("island").applyInPandas(_island(limit, epoch, last), schema), "pack-epoch")
-        out = out.unionByName(found.where("final").select(*names, F.col("bin").alias("sequence_id"), "offset"))
+        out = out.unionByName(found.where("final").select(*names, "row", F.col("bin").alias("sequence_id"), "offset"))
         if last:
             break
         open_ = found.where("NOT final").select(*open_.columns)
         now = open_.count()
         left, stalled = now, now > 0.9 * left
-    return out
+    if not order:
+        return out.drop("row")
+    made = out.groupBy("sequence_id").agg(F.expr("sum(row * length) DIV sum(length)").alias("_at_row"))
+    placed, _ = numbered(made, ["_at_row", "sequence_id"], "_n", "pack-sequences")
+    return out.join(placed.drop("_at_row"), "sequence_id").select(*names, F.col("_n").alias("sequence_id"), "offset")
+
 
+def pack_texts(docs: DataFrame, *, tokenizer: str, end: int = 2, limit: int = 1024, doc_id: str = "doc_id", text: str = "text", order: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every text.
 
-def pack_texts(docs: DataFrame, *, tokenizer: str, end: int = 2, limit: int = 1024, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every text."""
-    return pack(cut_pieces(docs, tokenizer=tokenizer, end=end, limit=limit, doc_id=doc_id, text=text), limit=limit)
+    order: columns by which the texts go; the sequences then follow it.
+    """
+    pieces = cut_pieces(docs, tokenizer=tokenizer, end=end, limit=limit, doc_id=doc_id, text=text, order=order)
+    by = [f"_o{k}" for k in range(len(order))] + ["doc_id", "piece", "ids_crc32"]
+    return pack(pieces, limit=limit, order=by if order else None)

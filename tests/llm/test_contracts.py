@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marlspark.llm import fingerprint, host_rules, lm_score, mixing, near_dedup, packing, quality_rank, queries, sharding, suffix_dedup, token_counts
 
 SF = "/root/testdata/sf0.001"
@@ -421,3 +422,35 @@ def test_op10_genetic_packing_is_never_worse_than_best_fit():
         bins = packing.evolve(size, 1024, [], 3)
         assert sorted(i for b in bins for i in b) == list(range(n)) and all(sum(size[i] for i in b) <= 1024 for b in bins)
         assert len(bins) <= len(packing.best_fit(list(range(n)), size, 1024, []))
+
+
+def test_pipeline_sequences_follow_the_weights(spark, monkeypatch):
+    """Stages 4 and 5: every prefix of the packed sequences has the sources at their weights until one ends."""
+    monkeypatch.setattr(packing, "ISLAND", 100)
+    monkeypatch.setattr(corpus_pipeline, "BLOCK_BYTES", 2000)
+    rng, rows = np.random.default_rng(4), []
+    for source, n in (("hot", 3200), ("b", 200), ("c", 200)):  # weights 4, 1 and 1 by the root of the bytes
+        rows += [(len(rows) + i, " ".join(f"w{x}" for x in rng.integers(0, 99, int(rng.integers(20, 140)))), source) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed_ = corpus_pipeline.source_mixing(spark, df, "")
+    assert sorted(rows_of(mixed_, *df.columns)) == sorted(rows)
+    # what is between the stages may come in any order of rows
+    got = corpus_pipeline.best_fit_packing(spark, mixed_.repartition(7, F.rand(1)), "").toPandas()
+    source = {i: s for i, _, s in rows}
+    got = got.assign(source=got.doc_id.map(source)).sort_values(["sequence_id", "offset"])
+    assert sorted(got.sequence_id.unique()) == list(range(got.sequence_id.nunique()))
+    assert got.groupby("sequence_id").length.sum().max() <= 1024 and set(got.doc_id) == set(source)
+    size = {s: sum(len(t) for _, t, x in rows if x == s) ** 0.5 for s in ("hot", "b", "c")}
+    had = {s: (got.length * (got.source == s)).cumsum().to_numpy() for s in size}
+    ends = min(int(np.argmax(h == h[-1])) for h in had.values())
+    total, most = sum(had.values()), 150 * 140  # tokens of an island of pieces
+    for s, h in had.items():
+        assert np.abs(h - total * size[s] / sum(size.values()))[: int(0.9 * ends)].max() < most, s
+
+
+def test_mixed_repeated_rows_have_their_own_places(spark):
+    df = spark.createDataFrame([(1, "x" * 100, "a", None)] * 50 + [(2, None, None, 3)] * 2, "doc_id long, text string, source string, mix_slot int")
+    got = mixing.mixed(df, block_bytes=100)
+    assert got.columns == ["doc_id", "text", "source", *mixing.MIXED] and got.count() == 52
+    assert got.where("source = 'a'").select("mix_slot").distinct().count() == 50
+    assert mixing.mixed(df.limit(0), block_bytes=100).count() == 0
