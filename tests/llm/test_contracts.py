@@ -197,6 +197,16 @@ def test_op5_odd(table, odd):
         assert len(got) == table.count() and got.score.between(0, 1).all()
 
 
+def test_op5_variety_covers_the_whole_text():
+    rng = np.random.default_rng(6)
+    for n in (1, 7, 50, 51, 300):
+        h = rng.integers(0, 40, n)
+        brute = [len(set(h[a : a + 50].tolist())) / min(n, 50) for a in range(max(n - 50, 0) + 1)]
+        assert np.allclose(quality_rank.window_variety(h), (np.mean(brute), min(brute)))
+    good, late = np.arange(400), np.concatenate([np.arange(200), np.zeros(200, int)])
+    assert quality_rank.window_variety(good) == (1, 1) and quality_rank.window_variety(late)[1] == 0.02
+
+
 def test_op6_bytes(table):
     got = suffix_dedup.remove_repeats(table, keep={"doc_id": F.col("doc_id"), "src": F.col("text")}).collect()
     raw = [(r[0] or "").encode() for r in rows_of(table, "text")]
