@@ -168,7 +168,7 @@ def stem_parse(spark, sf):
 
 @query("""SELECT page_id, regexp_extract(lower(url), '\\.([a-z0-9]+)$', 1) AS suffix, regexp_extract(lower(url), '\\.([a-z0-9]+)$', 1) IN ('jpg','jpeg','png','bmp','tif','tiff','webp') AS is_image FROM pages""")
 def path_split(spark, sf):
-    """P3 to P5."""
+    """P5: the suffix, and whether it is one of an image."""
     return t(spark, sf, "pages").select("page_id", suffix(F.col("url")).alias("suffix"), suffix(F.col("url")).isin(*IMAGE_SUFFIXES).alias("is_image"))
 
 
@@ -228,7 +228,7 @@ def duplicate_keys(spark, sf):
 
 @query("""SELECT p_brand, p_partkey, p_retailprice FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) = 1""")
 def top_components(spark, sf):
-    """The largest of each group, by an aggregate that combines before its shuffle."""
+    """The largest of each group, by an aggregate that combines before its shuffle."""
     best = F.max_by(F.struct("p_partkey", "p_retailprice"), F.struct("p_retailprice", -F.col("p_partkey"))).alias("b")
     return t(spark, sf, "part").groupBy("p_brand").agg(best).select("p_brand", "b.p_partkey", "b.p_retailprice")
 
@@ -249,7 +249,7 @@ def record_types(spark, sf):
 
 @query()
 def pcg_sample(spark, sf):
-    """Pool in order, the exact PCG64 permutation, ranks, and failure cases dealt to the first ranks.
+    """Pool in order, the exact PCG64 permutation, ranks. The case of the first 40 ranks goes by rank, not by R3 and R4.
 
     The permutation has a row for each source of the pool, as the sampled order is one of NumPy's; it is made on the
     driver and joined by place, and places are running numbers by range, not a window over everything.
