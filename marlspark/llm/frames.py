@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_LOCAL = threading.local()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,12 +34,73 @@ def scratch_root(spark: SparkSession) -> str:
     return "file://" + _OWN["dir"]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+def scratch_run(spark: SparkSession) -> str:
+    """The folder of this application below scratch_root; clear_scratch deletes it as a whole."""
+    return f"{scratch_root(spark)}/marlspark-{spark.sparkContext.applicationId}"
+
+
+def _made() -> list[str]:
+    """Paths written by this thread that were not deleted yet."""
+    if not hasattr(_LOCAL, "made"):
+        _LOCAL.made = []
+    return _LOCAL.made
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(*frames: DataFrame | None) -> None:
+    """Delete the files of frames that written() gave; other frames are left alone. Nothing may read them any more."""
+    for df in frames:
+        path = None if df is None else getattr(df, "_scratch_path", None)
+        if path in _made():
+            _made().remove(path)
+            _delete(df.sparkSession, [path])
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this application wrote on the way; call it once the results are written."""
+    _made().clear()
+    _delete(spark, [scratch_run(spark)])
+
+
+def written(df: DataFrame, name: str, drop: tuple[DataFrame | None, ...] = ()) -> DataFrame:
+    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    drop: frames of written() that only df reads; their files are deleted once df stands.
+    """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_run(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    forget(*drop)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    _made().append(path)
+    return out
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What make() gives, written; every other table that was written on the way is deleted."""
+    before = set(_made())
+    out = written(make(), name)
+    gone = [p for p in _made() if p not in before and p != out._scratch_path]
+    _delete(out.sparkSession, gone)
+    _LOCAL.made = [p for p in _made() if p not in gone]
+    return out
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """names, with underscores added where a column of taken (whatever its case) has the name."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def numbered(df: DataFrame, order: list[str], to: str, name: str) -> tuple[DataFrame, int]:
@@ -90,22 +153,19 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """(node, root) for every node of the undirected edges; root is the smallest node that it reaches.
 
     Each round joins every node with its smallest neighbour and contracts; at least half of the nodes that
-    still have edges go, so the rounds are logarithmic. Nothing is gathered in one place but two counts.
+    still have edges go, so the rounds are logarithmic. Nothing is gathered in one place.
     """
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     edge = written(both.union(both.select("v", "u")).distinct(), "cc-edges")
-    labels: DataFrame | None = None
+    if edge.isEmpty():
+        return edge.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    steps = []
     while not edge.isEmpty():
-        parent = written(edge.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")), "cc-parents")
-        if labels is None:
-            labels = parent.select(F.col("u").alias("node"), F.col("p").alias("root"))
-        else:
-            step = parent.select(F.col("u").alias("root"), "p")
-            labels = labels.join(step, "root", "left").select("node", F.coalesce("p", "root").alias("root"))
-        labels = written(labels, "cc-labels")
-        left = edge.join(parent.withColumnRenamed("p", "pu"), "u")
-        right = parent.select(F.col("u").alias("v"), F.col("p").alias("pv"))
-        edge = written(left.join(right, "v").where("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "cc-edges")
-    if labels is None:
-        labels = edge.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return labels
+        steps.append(written(edge.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")), "cc-parents"))
+        left = edge.join(steps[-1].withColumnRenamed("p", "pu"), "u")
+        right = steps[-1].select(F.col("u").alias("v"), F.col("p").alias("pv"))
+        edge = written(left.join(right, "v").where("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "cc-edges", drop=(edge,))
+    labels = steps[0].select(F.col("u").alias("node"), F.col("p").alias("root"))
+    for step in steps[1:]:
+        labels = labels.join(step.select(F.col("u").alias("root"), "p"), "root", "left").select("node", F.coalesce("p", "root").alias("root"))
+    return written(labels, "cc-labels", drop=(edge, *steps))
