@@ -1,19 +1,22 @@
 """Tokens of whole texts under a unigram vocabulary, counted without making the tokens.
 
 Aho-Corasick finds all vocabulary pieces that end at a place; a Viterbi recursion carries the best score and the number
-of pieces of the path that has it. Ties go as in the tokenizer: starts are looked at in ascending order and only a
-better score wins, so of equal paths into a place the one with the longest last piece stays. A character without a
-piece costs 10 less than the least score of any piece and, with byte fallback, counts as its UTF-8 bytes.
-
-Spaces become the mark U+2581, one is put before the text. No piece has a mark after another character, so the
-recursion is run for each distinct marked word of a batch of texts, and sums are taken.
-
-Defined results: a null or empty text has 0 tokens and score 0; other columns are not looked at.
+of pieces of the path that has it. Rules are those of the unigram tokenizers: starts are looked at in ascending order
+and only a better score wins, so of equal paths into a place the one with the longest last piece stays; a character
+without a piece of its own costs 10 more than the worst piece and, with byte fallback, counts as its UTF-8 bytes;
+sums are doubles and start anew in each word. The counts are those of the tokenizer that ``tokenizer`` makes of the same
+vocabulary (Unigram with the Metaspace splitter: spaces become the mark U+2581, one is put before a text that has none,
+and a word goes from a mark to the next).
+
+The recursion is run once for each distinct word of a worker, and sums are taken. Words of more than 64 characters are
+not kept, so what a worker keeps is bounded in bytes too.
+
+Defined results: a null or empty text has 0 tokens and score 0; a text without spaces is one word, whatever its length;
+repeated rows are counted each; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlspark.llm.frames import map_arrow, small_batches
+from marlspark.llm.vocab import MARK, Vocabulary, vocabulary
 
-MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words whose result is kept by a worker at a time.
-KEPT = 200_000
+#: Words whose result is kept by a worker at a time, and their length.
+KEPT, KEPT_LENGTH = 200_000, 64
 
 
 class Counted:
@@ -43,7 +46,6 @@ class Counted:
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         self.fallback = fallback
-        self.whole = any(MARK in p.lstrip(MARK) for p, _ in pieces)
         self.known: dict[str, tuple[int, float]] = {}
 
     def best(self, s: str) -> tuple[int, float]:
@@ -79,41 +81,37 @@ class Counted:
     def text(self, text: str | None) -> tuple[int, float]:
         if not text:
             return 0, 0.0
-        s = MARK + text.replace(" ", MARK)
-        if self.whole:
-            words = [s]
-        elif MARK + MARK in s:
-            words = re.findall(f"{MARK}+[^{MARK}]*", s)
-        else:
-            words = s.split(MARK)[1:]
-        plain = not self.whole and MARK + MARK not in s
-        tokens, total = 0, 0.0
+        words = text.replace(" ", MARK).split(MARK)
+        if len(words) > 1 and not words[0]:
+            words = words[1:]  # the text has a mark of its own in front
+        tokens, total, known = 0, 0.0, self.known
         for w, n in Counter(words).items():
-            hit = self.known.get(w if not plain else MARK + w)
+            hit = known.get(w)
             if hit is None:
-                key = MARK + w if plain else w
-                if len(self.known) >= KEPT:
-                    self.known.clear()
-                hit = self.known[key] = self.best(key)
+                hit = self.best(MARK + w)
+                if len(w) <= KEPT_LENGTH:
+                    if len(known) >= KEPT:
+                        known.clear()
+                    known[w] = hit
             tokens += n * hit[0]
             total += n * hit[1]
         return tokens, total
 
 
-def vocabulary(path: str) -> tuple[list[tuple[str, float]], bool]:
-    """Pieces and scores of a sentencepiece model file, taken as a unigram vocabulary; whether it has byte fallback."""
-    import sentencepiece
+def tokenizer(v: Vocabulary):
+    """The tokenizer library's own tokenizer of the vocabulary, whose counts these are."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    ids = range(sp.get_piece_size())
-    pieces = [(sp.id_to_piece(i), sp.get_score(i)) for i in ids if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
-    return pieces, any(sp.is_byte(i) for i in ids)
+    own = Tokenizer(models.Unigram(list(zip(v.pieces, v.logp, strict=True)), unk_id=v.unknown, byte_fallback=bool(v.bytes_)))
+    own.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="always", split=True)
+    return own
 
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> Counted:
     """One for each worker process and vocabulary."""
-    return Counted(*vocabulary(path))
+    v = vocabulary(path)
+    return Counted(list(zip(v.pieces, v.logp, strict=True)), bool(v.bytes_))
 
 
 def count_tokens(docs: DataFrame, *, vocab_path: str, text: str = "text", keep: list[str]) -> DataFrame:
