@@ -1,20 +1,23 @@
-"""Marginal log-probability of whole texts over a lattice of words and subword pieces.
+"""Marginal log-probability of whole texts over the subword lattice of an existing unigram vocabulary.
 
-A text is a sequence of words and one end. A word is spelled by one piece, if it was seen in training, or by pieces
-of an existing subword vocabulary; the probability of a word is the sum over all its segmentations, computed by the
-forward recursion in log space. No piece spans two words, so the recursion of a text is the sum over its words, and is
-run once for each distinct word instead of once for each occurrence. Texts come from one of a few classes (languages),
-each with its own scores of words and pieces; the class of a text is summed over too, and never read from the text's row.
+The pieces of the vocabulary have its own scores as log-probabilities (see vocab). A text is a sequence of words and
+one end; every word begins with the word mark, and as no piece crosses a mark, the sum over all segmentations of a text
+is the product of those of its words. The sum of a word is taken by the forward recursion in log space, once for each
+distinct word. Pieces with and without a mark together have the share 1, so the lattice is a distribution over words.
 
-Scores: with c occurrences in training of a word in a class of n tokens and v types, the word itself has
-(c - D) / n, and D v / n is left for spelling, a fifth of it through all classes together. Pieces have the add-one share of
-their uses in the sentencepiece segmentation of the class's word types. Tables grow with the corpus and are joined;
-what is broadcast is the piece scores (as large as the vocabulary) and the words that make up at least 1 / head of all
-tokens, at most ``head`` of them.
+What the training texts add are words: with c occurrences of a word in n tokens of v types, P(word) is (c - D) / n plus
+D v / n times its lattice probability, so the lattice spreads what the discount D leaves over all words, seen or not.
+Texts come from one of a few classes (languages), each with counts of its own that back off to those of all classes by a
+fifth; the class of a text is summed over too, and never read from the text's row. With learned=False the score is the
+lattice's alone. Tables of words grow with the corpus and are joined; what is broadcast is the piece scores (as large
+as the vocabulary) and the words that make up at least 1 / head of all tokens, at most ``head`` of them.
+
+Rows are told apart by 128 bits of their text and the columns that are kept, not by their place, so a task that runs
+again gives the same; rows that are equal in all of these are scored once and given as often as they came.
 
 Defined results: a null or empty text is the end alone; a null class counts as a class; with more than max_classes
-classes the smaller ones are taken together; with no training text at all every score rests on the add-one terms; rows
-that are repeated are scored alike; other columns are not looked at.
+classes the smaller ones are taken together; with no training text at all every score is the lattice's; rows that are
+repeated are scored alike; a text without spaces is one word, whatever its length; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -22,13 +25,16 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marlspark.llm.frames import map_arrow, small_batches, written
+from marlspark.llm.frames import map_arrow, row_key, small_batches, written
+from marlspark.llm.vocab import MARK, vocabulary
 
 DISCOUNT, GLOBAL_SHARE = 0.7, 0.2
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -41,55 +47,94 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_LOWER).split() if text else []
 
 
-def piece_list(vocab_path: str) -> list[bytes]:
-    """Pieces of the vocabulary as they occur inside words, and every single byte, so that each word has a segmentation."""
-    import sentencepiece
+@lru_cache(maxsize=2)
+def lattice_pieces(vocab_path: str) -> tuple[list[bytes], np.ndarray, float]:
+    """Pieces as bytes with a space for the word mark, their log-probabilities, and that of the end of a text.
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=vocab_path)
-    inside = {sp.id_to_piece(i).replace("▁", "").encode() for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
-    return sorted((inside - {b""}) | {bytes([b]) for b in range(256)})
+    Pieces that no word can hold (runs of marks, controls) are left out and the rest sums to 1. Every single byte is a
+    piece, and the mark, so each word has a segmentation.
+    """
+    v = vocabulary(vocab_path)
+    share: dict[bytes, float] = {}
+    for i in v.normal:
+        piece = v.pieces[i].replace(MARK, " ").encode()
+        if piece.count(b" ") == (piece[:1] == b" "):
+            share[piece] = math.exp(v.logp[i])
+    least = min(share.values(), default=1.0)
+    for piece in [b" ", *(bytes([x]) for x in range(256) if x != 32)]:
+        share.setdefault(piece, least)
+    pieces = sorted(share)
+    value = np.array([share[p] for p in pieces])
+    whole = value.sum()
+    # an end comes as often as the mark alone: it is a piece without a word
+    return pieces, np.log(value / whole), math.log(share[b" "] / whole)
 
 
 class Lattice:
-    """log P(word | spelled by pieces) for each class: a distribution over words, as an end follows the last piece."""
+    """log P(word) as the sum over all of its segmentations into pieces, the word mark in front."""
 
-    def __init__(self, pieces: list[bytes], scores: np.ndarray, stop: np.ndarray):
+    #: Words of more bytes are run one at a time, by the pieces that Aho-Corasick finds in them.
+    LONG = 200
+
+    def __init__(self, pieces: list[bytes], scores: np.ndarray):
         self.index = {p: i for i, p in enumerate(pieces)}
-        self.scores, self.stop = scores, np.asarray(stop)
-        self.longest = max(map(len, pieces))
+        self.scores, self.longest = np.asarray(scores, np.float64), max(map(len, pieces))
+        self.found = None
 
     def _same_length(self, words: list[bytes]) -> np.ndarray:
         """The log-space recursion over places, for all words of one length at once; sums holds the last places only."""
         n, size, get = len(words), len(words[0]), self.index.get
-        none = np.full((n, self.scores.shape[1]), -np.inf)
-        sums = {0: np.zeros_like(none)}
+        sums = {0: np.zeros(n)}
         for a in range(size):
             here = sums.pop(a)
             for b in range(a + 1, min(size, a + self.longest) + 1):
                 there = sums.get(b)
                 if there is None:
-                    there = sums[b] = none.copy()
+                    there = sums[b] = np.full(n, -np.inf)
                 piece = np.fromiter((get(w[a:b], -1) for w in words), np.int64, n)
                 hit = np.flatnonzero(piece >= 0)
                 if len(hit):
                     there[hit] = np.logaddexp(there[hit], here[hit] + self.scores[piece[hit]])
-        return sums[size] + self.stop
+        return sums[size]
+
+    def _long(self, word: bytes) -> float:
+        """The same recursion for one word, in time in proportion to the pieces that occur in it."""
+        if self.found is None:
+            import ahocorasick
+
+            self.found = ahocorasick.Automaton()
+            for p, i in self.index.items():
+                self.found.add_word(p.decode("latin-1"), (len(p), float(self.scores[i])))
+            self.found.make_automaton()
+        ring = self.longest + 1
+        sums = [-math.inf] * ring
+        sums[0], at = 0.0, 0
+        for end, (size, own) in self.found.iter(word.decode("latin-1")):
+            while at <= end:  # every byte is a piece, so every place is reached
+                at += 1
+                sums[at % ring] = -math.inf
+            new, old = sums[(end + 1 - size) % ring] + own, sums[at % ring]
+            sums[at % ring] = new if old == -math.inf else max(new, old) + math.log1p(math.exp(-abs(new - old)))
+        return sums[at % ring]
 
     def forward_all(self, words: list[bytes], block: int = 4096) -> np.ndarray:
-        out = np.zeros((len(words), self.scores.shape[1]))
-        size = np.array([len(w) for w in words])
+        """For each word, given without its mark, the log of its marginal probability."""
+        marked = [b" " + w for w in words]
+        out = np.zeros(len(words))
+        size = np.array([len(w) for w in marked])
         order = np.argsort(size, kind="stable")
         a = 0
         while a < len(order):
+            if size[order[a]] > self.LONG:
+                out[order[a]] = self._long(marked[order[a]])
+                a += 1
+                continue
             b = min(int(np.searchsorted(size[order], size[order[a]], side="right")), a + block)
             rows = order[a:b]
-            out[rows] = self._same_length([words[i] for i in rows])
+            out[rows] = self._same_length([marked[i] for i in rows])
             a = b
         return out
 
-    def forward(self, word: bytes) -> list[float]:
-        return self.forward_all([word])[0].tolist()
-
 
 def _count(classes: dict[str, int], rest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,69 +162,36 @@ def _count(classes: dict[str, int], rest: int):
     return run
 
 
-def _piece_uses(vocab_path: str, k: int):
-    """Counts of pieces (and of ends) in the segmentations of the word types of each class."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=vocab_path)
-        names = [sp.id_to_piece(i).replace("▁", "").encode() if not sp.is_byte(i) else bytes([int(sp.id_to_piece(i)[3:5], 16)]) for i in range(sp.get_piece_size())]
-        total = np.zeros((k, len(names) + 1), np.int64)
-        for batch in batches:
-            words = [w.decode("utf-8", "replace") for w in batch.column(0).to_pylist()]
-            counts = np.array(batch.column(1).to_pylist(), np.int64).reshape(-1, k)
-            ids = sp.encode(words, num_threads=1)
-            size = np.array([len(i) for i in ids])
-            flat = np.concatenate([np.asarray(i, np.int64) for i in ids]) if len(ids) else np.zeros(0, np.int64)
-            for j in range(k):
-                seen = counts[:, j] > 0
-                total[j, :-1] += np.bincount(flat[np.repeat(seen, size)], minlength=len(names))
-                total[j, -1] += seen.sum()
-        j, i = np.nonzero(total)
-        piece = [names[x] if x < len(names) else END for x in i]
-        yield pa.RecordBatch.from_arrays([pa.array(piece, pa.binary()), pa.array(j.astype(np.int32)), pa.array(total[j, i])], names=["piece", "cls", "n"])
-
-    return run
-
-
 class Model:
-    """Sizes of the training text and the scores of pieces; small, whatever the corpus."""
+    """Sizes of the training text, by class; small, whatever the corpus."""
 
-    def __init__(self, n: list[int], v: list[int], types: int, pieces: list[bytes], uses: np.ndarray):
-        self.n, self.v, self.total, self.types = n, v, sum(n), types
-        scores = np.log((uses[:, :-1] + 1.0) / (uses.sum(1, keepdims=True) + len(pieces) + 1.0)).T
-        everywhere = uses.sum(0)
-        shared = np.log((everywhere[:-1] + 1.0) / (everywhere.sum() + len(pieces) + 1.0))
-        self.pieces, self.scores = pieces, np.concatenate([scores, shared[:, None]], axis=1)
-        stop = np.log((uses[:, -1] + 1.0) / (uses.sum(1) + len(pieces) + 1.0))
-        self.stop = [*stop.tolist(), math.log((everywhere[-1] + 1.0) / (everywhere.sum() + len(pieces) + 1.0))]
+    def __init__(self, n: list[int], v: list[int], types: int, learned: bool = True):
+        self.n, self.v, self.total, self.types, self.learned = n, v, sum(n), types, learned
 
     def words(self, counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:
-        """Natural log of P(word) in each class (columns), from its counts and its spelled log-probabilities (the last: of all classes)."""
+        """Natural log of P(word) in each class (columns), from its counts and its log-probability in the lattice."""
+        if not self.learned or not self.total:
+            return np.repeat(spelled[:, None], counts.shape[1], axis=1)
         n, v = np.array(self.n, np.float64), np.array(self.v, np.float64)
-        some = n > 0
         with np.errstate(divide="ignore"):
             seen = np.log(np.maximum(counts - DISCOUNT, 0) / np.maximum(n, 1))
-            left = np.log(np.where(some, DISCOUNT * v / np.maximum(n, 1), 1.0))
-            whole = np.log(np.maximum(counts.sum(1) - DISCOUNT, 0) / max(self.total, 1))
-            rest = math.log(DISCOUNT * self.types / self.total) if self.total else 0.0
-        everywhere = np.logaddexp(whole, rest + spelled[:, -1])[:, None]
-        unseen = left + np.logaddexp(math.log(GLOBAL_SHARE) + everywhere, math.log(1 - GLOBAL_SHARE) + spelled[:, :-1])
+            left = np.log(np.where(n > 0, DISCOUNT * v / np.maximum(n, 1), 1.0))
+            whole = np.log(np.maximum(counts.sum(1) - DISCOUNT, 0) / self.total)
+            rest = math.log(DISCOUNT * self.types / self.total)
+        everywhere = np.logaddexp(whole, rest + spelled)
+        unseen = left + np.logaddexp(math.log(GLOBAL_SHARE) + everywhere, math.log(1 - GLOBAL_SHARE) + spelled)[:, None]
         return np.logaddexp(seen, unseen)
 
-    def word(self, counts: list[int], spelled: list[float]) -> list[float]:
-        return self.words(np.array([counts], np.float64), np.array([spelled], np.float64))[0].tolist()
-
 
-def _score_words(model: Model):
+def _score_words(model: Model, vocab_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model.pieces, model.scores, np.array(model.stop))
+        pieces, scores, stop = lattice_pieces(vocab_path)
+        lattice = Lattice(pieces, scores)
         for batch in batches:
             words = batch.column(0).to_pylist()
             counts = np.array(batch.column(1).to_pylist(), np.float64).reshape(len(words), -1)
-            spelled = lattice.forward_all(words)
-            spelled[[w == END for w in words]] = -700.0  # the end has no spelling: its probability is its share
+            spelled = lattice.forward_all([b"" if w == END else w for w in words])
+            spelled[[w == END for w in words]] = stop
             out = model.words(counts, spelled)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.reshape(-1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts.sum(1).astype(np.int64)), lists], names=["word", "c", "lp"])
@@ -187,20 +199,21 @@ def _score_words(model: Model):
     return run
 
 
-def _score_texts(head: dict[bytes, int], table: np.ndarray, total: int, types: int):
-    """A row with the sums over frequent words for each text (word: a space and its row), and one for each other word.
+def _score_texts(head: dict[bytes, int], table: np.ndarray):
+    """Of rows (k0, k1, _text, _kept): a row with the sums over frequent words for each text, and one for each other word.
 
-    table: for each frequent word its scores by class, its term of the base score and whether it was seen.
+    The word of the first is a space and the key, which no other word is. table: for each frequent word its scores by
+    class, its term of the base score and whether it was seen.
     """
-    names = ["row", "word", "times", "n_tokens", "n_known", "sums"]
+    names = ["k0", "k1", "word", "times", "n_tokens", "n_known", "sums", "_kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = head.get
         for batch in small_batches(batches, "_text"):
-            rows = batch.column(0).to_pylist()
-            sizes, sums = np.zeros(len(rows), np.int64), np.zeros((len(rows), table.shape[1]))
+            k0, k1, kept = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
+            sizes, sums = np.zeros(len(k0), np.int64), np.zeros((len(k0), table.shape[1]))
             row_of, word_of, times_of = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 words = words_of(text)
                 words.append(END)
                 counted = Counter(words)
@@ -212,24 +225,27 @@ def _score_texts(head: dict[bytes, int], table: np.ndarray, total: int, types: i
                 other = np.flatnonzero(~hit)
                 if len(other):
                     keys = list(counted)
-                    row_of.append(np.full(len(other), rows[i]))
+                    row_of.append(np.full(len(other), i))
                     word_of += [keys[j] for j in other.tolist()]
                     times_of.append(n[other])
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * (table.shape[1] - 1)), pa.array(sums[:, :-1].reshape(-1)))
-            ones = pa.array(np.ones(len(rows), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array([b" %d" % r for r in rows], pa.binary()), ones, pa.array(sizes), pa.array(np.rint(sums[:, -1]).astype(np.int64)), flat], names=names)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(k0) + 1, dtype=np.int32) * (table.shape[1] - 1)), pa.array(sums[:, :-1].reshape(-1)))
+            own = pa.array([b" %d %d" % x for x in zip(k0.tolist(), k1.tolist(), strict=True)], pa.binary())
+            known = pa.array(np.rint(sums[:, -1]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own, pa.array(np.ones(len(k0), np.int64)), pa.array(sizes), known, flat, kept], names=names)
             if word_of:
-                none = pa.array(np.zeros(len(word_of), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(row_of)), pa.array(word_of, pa.binary()), pa.array(np.concatenate(times_of)), none, none, pa.nulls(len(word_of), pa.list_(pa.float64()))], names=names)
+                m, at = len(word_of), np.concatenate(row_of)
+                none = pa.array(np.zeros(m, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(k0[at]), pa.array(k1[at]), pa.array(word_of, pa.binary()), pa.array(np.concatenate(times_of)), none, none, pa.nulls(m, pa.list_(pa.float64())), pa.nulls(m, kept.type)], names=names)
 
     return run
 
 
-def score_texts(docs: DataFrame, *, learn: Column, vocab_path: str, text: str = "text", classes: str | None = None, keep: dict[str, Column], head: int = 300_000, max_classes: int = 8) -> DataFrame:
+def score_texts(docs: DataFrame, *, learn: Column, vocab_path: str, text: str = "text", classes: str | None = None, keep: dict[str, Column], head: int = 300_000, max_classes: int = 8, learned: bool = True) -> DataFrame:
     """The columns of keep with n_tokens, n_known, train_tokens, base_score and score (both log10) for each row.
 
     learn: which rows the model learns from. classes: the column with the class of a training text, or None for one
-    class. base_score is the add-one unigram score of the same tokens.
+    class. learned: whether seen words have a share of their own, or the vocabulary's lattice alone gives the score.
+    base_score is the add-one unigram score of the same tokens.
     """
     cls = F.col(classes).cast("string") if classes else F.lit("")
     frame = docs.select(F.col(text).alias("_text"), cls.alias("_cls"), F.coalesce(learn, F.lit(False)).alias("_learn"))
@@ -242,34 +258,35 @@ def score_texts(docs: DataFrame, *, learn: Column, vocab_path: str, text: str =
     sizes = table.agg(*[F.sum(F.col("counts")[j]).alias(f"n{j}") for j in range(k)], *[F.count_if(F.col("counts")[j] > 0).alias(f"v{j}") for j in range(k)], F.count_if(all_ > 0).alias("types")).first()
     n, v, types = [sizes[f"n{j}"] or 0 for j in range(k)], [sizes[f"v{j}"] or 0 for j in range(k)], sizes["types"] or 0
     total = sum(n)
-    uses = map_arrow(table.where(all_ > 0).where(F.col("word") != F.lit(END)), _piece_uses(vocab_path, k), "piece binary, cls int, n bigint").groupBy("piece", "cls").agg(F.sum("n").alias("n"))
-    pieces = piece_list(vocab_path)
-    place = {p: i for i, p in enumerate([*pieces, END])}
-    grid = np.zeros((k, len(pieces) + 1))
-    for r in uses.toLocalIterator():  # as many rows as the vocabulary has pieces, for each class, at most
-        at = place.get(bytes(r["piece"]))
-        if at is not None:
-            grid[r["cls"], at] += r["n"]
-    model = Model(n, v, types, pieces, grid)
-    scored = written(map_arrow(table, _score_words(model), "word binary, c bigint, lp array<double>"), "lm-scores")
+    model = Model(n, v, types, learned)
+    scored = written(map_arrow(table, _score_words(model, vocab_path), "word binary, c bigint, lp array<double>"), "lm-scores", drop=(table,))
     least = max(total / head, 1)
     frequent = scored.where(F.col("c") >= least).select("word", F.concat("lp", F.array(F.log10(F.col("c") + 1) - math.log10(total + types + 1), F.lit(1.0))).alias("s")).collect()
     index_of, scores = {bytes(r["word"]): i for i, r in enumerate(frequent)}, np.array([r["s"] for r in frequent], np.float64).reshape(len(frequent), k + 2)
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text).alias("_text"), *[c.alias(a) for a, c in keep.items()])
-    parts = map_arrow(numbered.select("row", "_text"), _score_texts(index_of, scores, total, types), "row bigint, word binary, times bigint, n_tokens bigint, n_known bigint, sums array<double>")
+    kept = F.struct(*[c.alias(a) for a, c in keep.items()])
+    keyed = docs.select(F.col(text).alias("_text"), kept.alias("_kept"))
+    keyed = keyed.select(*[c.alias(a) for a, c in zip(("k0", "k1"), row_key("_text", "_kept"), strict=True)], "_text", "_kept")
+    schema = T.StructType.fromDDL("k0 bigint, k1 bigint, word binary, times bigint, n_tokens bigint, n_known bigint, sums array<double>").add("_kept", T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema["_kept"].dataType]))
+    parts = keyed.mapInArrow(_score_texts(index_of, scores), schema)
     rare = scored.where(F.col("c") < least)
     joined = parts.join(rare, "word", "left")
     low = F.lit(-math.log10(total + types + 1))
     base = F.when(F.col("sums").isNotNull(), F.col("sums")[k]).otherwise(F.col("times") * (F.log10(F.coalesce("c", F.lit(0)) + 1) + low))
-    summed = joined.groupBy("row").agg(
+    summed = joined.groupBy("k0", "k1").agg(
+        F.count("sums").alias("_copies"),
         F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
         F.sum(base).alias("base_score"),
+        F.first("_kept", ignorenulls=True).alias("_kept"),
         *[F.sum(F.coalesce(F.col("sums")[j], F.col("times") * F.col("lp")[j])).alias(f"s{j}") for j in range(k)],
     )
     prior = [math.log((x + 1) / (total + k)) for x in n]
-    each = F.array(*[F.col(f"s{j}") + F.lit(p) for j, p in enumerate(prior)])
+    each = F.array(*[F.col(f"s{j}") / F.col("_copies") + F.lit(p) for j, p in enumerate(prior)])
     top = F.array_max(each)
     score = (top + F.log(F.aggregate(each, F.lit(0.0), lambda a, x: a + F.exp(x - top)))) / F.lit(math.log(10))
-    out = numbered.drop("_text").join(summed, "row")
-    return out.select(*keep, "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", score.alias("score"))
+    whole = [F.expr(f"{c} DIV _copies").alias(c) for c in ("n_tokens", "n_known")]
+    once = summed.select("_copies", "_kept", *whole, (F.col("base_score") / F.col("_copies")).alias("base_score"), score.alias("score"))
+    # rows that are equal throughout came as one; they go out in blocks, so that no array is long
+    out = once.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(_copies - 1) DIV 4096"))))
+    out = out.withColumn("_one", F.explode(F.expr("sequence(0, least(4096, _copies - 4096 * _block) - 1)")))
+    return out.select(*[F.col("_kept").getField(c).alias(c) for c in keep], "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
