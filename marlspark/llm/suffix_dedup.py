@@ -1,19 +1,25 @@
 """Exact substring de-duplication: bytes covered by a string of 200 bytes that starts at least twice go.
 
-The suffixes that matter are the windows of 200 bytes. They are dealt into suffix buckets, sorted a bucket at a time,
-and long ties are settled by ranks of a cover sample that are computed once for the bucket:
-
-* Cover sample. Of every window the 40 bytes whose hash is least are its sample; its place depends on the bytes of the
-  window alone. So any two equal windows have their samples at the same distance, which is what a difference cover
-  guarantees for two suffixes, with one sample in about 81 places (the cover of differences modulo 161 takes 14 of 161).
-* Buckets. Samples whose hash occurs once are dropped after one count of hashes; the rest fall into buckets by hash.
-* Sort. In a bucket the sample suffixes (the bytes from the sample on) are sorted and ranked, and so are the reversed
-  bytes before it. A window that starts i bytes before its sample is then the pair (rank of i bytes to the left,
-  rank of 200 - i bytes to the right): windows tie if both ranks do, whatever the length of the tie.
-
-Buckets are processed in blocks of bounded size. Contexts that are equal as a whole are settled by their digest and
-stand in a bucket once; a bucket with more than 512 different contexts is dealt anew into eight, by the bytes that its
-windows have in common, so that memory stays bounded. Texts that are equal as a whole count once.
+The suffixes that matter are the windows of 200 bytes. They are sorted by a difference cover, a suffix bucket at a time:
+
+* Candidates. Of every window the 40 bytes whose hash is least are found. Equal windows have equal ones, so a window
+  whose least hash occurs once in all texts has no equal; the runs of the other windows are all that is sorted.
+* Cover sample. Places of a text that are, modulo 73, in a difference cover (9 residues whose differences are all of
+  0 to 72) are the sample. For any two windows, wherever they start, there is a shift below 73 at which both have a
+  sample place, and the 128 bytes from there on lie in both windows.
+* Ranks. The 128 bytes of each sample place are ranked once (by a hash: only equality of ranks counts here). Ranks
+  that occur once drop out; the others are the suffix buckets.
+* Sort. In a bucket all agree in 128 bytes, which the rank settles without looking at them again. What is left, at most
+  72 bytes before and 72 after, is sorted and ranked on either side, a bucket at a time. The window that starts i bytes
+  before the sample is then the pair (rank of i bytes to the left, rank of 72 - i bytes to the right), and windows tie
+  if both ranks do.
+
+Samples that agree on both sides throughout are settled by a digest and stand in a bucket once. A bucket that still
+holds more than ``MOST`` samples is not sorted in one place: its windows are grouped by the hash of the bytes to
+the left and right, so its size bounds no memory. Buckets of any size are sorted or grouped in full.
+
+Texts that are equal as a whole count once. Only texts of 200 bytes or more are joined, so null, empty and short texts,
+however many, meet nowhere; equal long texts have one key, whose join Spark splits where it is skewed.
 
 Defined results: a null or empty text has 0 bytes, nothing removed and the digest of no bytes; texts under 200 bytes
 are left alone; a repeated row of 200 bytes or more is removed in every copy; other columns are not looked at.
@@ -23,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +41,15 @@ from marlspark.llm.words import BASE, STEP, mix, text_bytes
 
 LENGTH, GRAM = 200, 40
 SPAN = LENGTH - GRAM + 1
-#: A bucket of more different contexts is dealt into PARTS.
-MOST, PARTS = 512, 8
-BLOCK = 20_000
+# A perfect difference set modulo 73.
+MODULUS, COVER = 73, (0, 1, 3, 7, 15, 31, 36, 54, 63)
+#: Bytes that are ranked at a sample place, and those of a window that can lie on either side of them.
+RANKED, SIDE = LENGTH - MODULUS + 1, MODULUS - 1
+#: Most samples of a bucket that are sorted in one place; rows that are held for sorting at a time.
+MOST, BLOCK = 4096, 20_000
+#: Windows of a run that are hashed at a time.
+PART = 1 << 18
 _TABLE = mix(np.arange(256, dtype=np.uint64) + BASE)
-_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -62,18 +73,42 @@ def _least(values: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(low[: len(values) - span + 1], low[span - size :])
 
 
-def cover(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, first, last) of the samples of one text: first and last are the windows that have it."""
+def least_grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first, last): the least hashes of the windows of one text, and the runs of windows that have them."""
     if len(data) < LENGTH:
         z = np.zeros(0, np.int64)
-        return z, z.astype(np.uint64), z, z
+        return z.astype(np.uint64), z, z
     h = _grams(data)
     bits = np.uint64(31)  # of the place; where the bits above tie, the leftmost is the least in every copy alike
     place = np.arange(len(h), dtype=np.uint64)
     at = (_least((h >> bits << bits) | place, SPAN) & np.uint64(0x7FFFFFFF)).astype(np.int64)
     new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     last = np.concatenate([new[1:], [len(at)]]) - 1
-    return at[new], h[at[new]], new, last
+    return h[at[new]], new, last
+
+
+def sample_places(first: int, last: int, size: int) -> np.ndarray:
+    """Cover places of a text of size bytes that the windows from first to last can have within their first SIDE + 1 bytes."""
+    start = first // MODULUS * MODULUS
+    at = (np.arange(start, last + MODULUS + 1, MODULUS)[:, None] + np.array(COVER)).reshape(-1)
+    return at[(at >= first) & (at <= last + SIDE) & (at <= size - RANKED)]
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse."""
+    out = []
+    for x in (BASE, np.uint64(pow(int(BASE), -1, 1 << 64))):
+        power = np.full(n, x, np.uint64)
+        power[0] = 1
+        out.append(np.multiply.accumulate(power))
+    return out[0], out[1]
+
+
+def _prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of byte * BASE ** place up to each place, and BASE ** -place: the hash of a substring is the difference of two sums times the latter."""
+    power, back = _powers(PART + 1024)
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(data.astype(np.uint64) + np.uint64(1)) * power[: len(data)])]), back
 
 
 def _texts(batch: pa.RecordBatch, name: str = "_text") -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +123,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
             if b - a < LENGTH:
                 continue
-            h, n = np.unique(cover(data[a:b])[1], return_counts=True)
+            h, n = np.unique(least_grams(data[a:b])[0], return_counts=True)
             found.append(h)
             keys.append(np.full(len(h), key[i]))
             twice.append(n > 1)
@@ -96,7 +131,8 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ([f.view(np.int64) for f in found], keys, twice)], names=["hash", "t0", "twice"])
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, t0, t1, first, last) of each least hash and the windows that have it."""
     for batch in small_batches(batches, "_text"):
         data, offsets = _texts(batch)
         k0, k1 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -104,48 +140,69 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
             if b - a < LENGTH:
                 continue
-            text = data[a:b]
-            place, h, first, last = cover(text)
-            # digest of all bytes of the windows and of the sample's place among them
-            power = np.full(len(text) + 1, BASE, np.uint64)
-            power[0] = 1
-            power = np.multiply.accumulate(power)
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[:-1])])
-            back = np.full(len(text) + 1, _INVERSE, np.uint64)
-            back[0] = 1
-            back = np.multiply.accumulate(back)
-            digest = mix(mix((total[last + LENGTH] - total[first]) * back[first] + ((place - first) * 512 + last - first).astype(np.uint64) * STEP))
-            packed = (place << 24) | ((place - first) << 12) | (place - last)
-            for x, v in zip(out, (h.view(np.int64), np.full(len(h), k0[i]), np.full(len(h), k1[i]), packed, digest.view(np.int64)), strict=True):
+            h, first, last = least_grams(data[a:b])
+            for x, v in zip(out, (h.view(np.int64), np.full(len(h), k0[i]), np.full(len(h), k1[i]), first, last), strict=True):
                 x.append(v)
         if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["hash", "t0", "t1", "spot", "digest"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["hash", "t0", "t1", "first", "last"])
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the wanted spots of a text: the bytes of its windows, in parts where the bucket is large."""
+_SAMPLE = ["rank", "digest", "t0", "t1", "place", "most", "least", "left", "right"]
+_SAMPLE_TYPES = [*[pa.int64()] * 5, pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+_SAMPLE_SCHEMA = "rank bigint, digest bigint, t0 bigint, t1 bigint, place bigint, most int, least int, left binary, right binary"
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of texts and their runs of candidate windows: the sample places with the bytes on either side that the windows can have.
+
+    A window of the run starts from least to most bytes before the place.
+    """
     for batch in small_batches(batches, "_text"):
         rows = []
-        for text, t0, t1, wanted in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+        for text, t0, t1, runs in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             raw = text.encode()
-            for w in wanted:
-                place, most, least = w["spot"] >> 24, w["spot"] >> 12 & 4095, w["spot"] & 4095
-                step = -(-SPAN // PARTS) if w["large"] else SPAN
-                for part, low in enumerate(range(0, SPAN, step)):
-                    a, b = max(least, low), min(most, low + step - 1)
-                    if a > b:
+            data = np.frombuffer(raw, np.uint8)
+            first = last = -2
+            whole = []
+            for r in sorted(runs, key=lambda r: r["first"]):
+                if r["first"] <= last + 1:
+                    last = max(last, r["last"])
+                else:
+                    if last >= 0:
+                        whole.append((first, last))
+                    first, last = r["first"], r["last"]
+            whole.append((first, last))
+            for first, last in whole:
+                for block in range(first, last + 1, PART):  # hashes of a part of a long run at a time
+                    end = min(last, block + PART - 1)
+                    at = sample_places(block, end, len(raw))
+                    if not len(at):
                         continue
-                    key = w["hash"]
-                    if w["large"]:  # dealt by the bytes that all windows of the part have in common
-                        same = raw[place - low : place - low - step + 1 + LENGTH]
-                        key = int.from_bytes(hashlib.blake2b(same, digest_size=8).digest(), "little", signed=True)
-                    rows.append((key, part, w["digest"], t0, t1, place, b, a, raw[place - b : place - a + LENGTH]))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _CONTEXT_TYPES, strict=True)], names=_CONTEXT)
-
-
-_CONTEXT = ["key", "part", "digest", "t0", "t1", "place", "most", "least", "bytes"]
-_CONTEXT_TYPES = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.int32(), pa.binary()]
+                    low = max(0, block - SIDE)
+                    total, back = _prefix_hashes(data[low : end + SIDE + LENGTH + 1])
+                    rank = mix((total[at - low + RANKED] - total[at - low]) * back[at - low])
+                    most, least = np.minimum(at - block, SIDE), np.maximum(at - end, 0)
+                    a, b = at - most - low, at - least + LENGTH - low
+                    # the whole context, and where its place and its ends are
+                    seen = mix((total[b] - total[a]) * back[a] + (most * 128 + least).astype(np.uint64) * STEP)
+                    for p, k, d, m, n in zip(at.tolist(), rank.view(np.int64).tolist(), seen.view(np.int64).tolist(), most.tolist(), least.tolist(), strict=True):
+                        rows.append((k, d, t0, t1, p, m, n, raw[p - m : p], raw[p + RANKED : p - n + LENGTH]))
+        for a in range(0, len(rows), 50_000):
+            part = rows[a : a + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*part, strict=True), _SAMPLE_TYPES, strict=True)], names=_SAMPLE)
+
+
+def _window_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rank, k0, k1, t0, t1, first) for each window of samples of large buckets; k0 and k1 stand for its bytes on both sides."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1000):
+            rows = []
+            for rank, t0, t1, place, most, least, left, right in zip(*(c.to_pylist() for c in batch.slice(a, 1000).columns), strict=True):
+                for i in range(least, most + 1):
+                    told = hashlib.blake2b(left[len(left) - i :] + b"\xff" + right[: SIDE - i], digest_size=16).digest()
+                    rows.append((rank, int.from_bytes(told[:8], "little", signed=True), int.from_bytes(told[8:], "little", signed=True), t0, t1, place - i))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["rank", "k0", "k1", "t0", "t1", "first"])
 
 
 def _classes(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,25 +215,23 @@ def _classes(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, np.concatenate([[-1], shared])
 
 
-def repeated(group: np.ndarray, most: np.ndarray, least: np.ndarray, contexts: list[bytes]) -> np.ndarray:
-    """marks[r, i]: whether the window of context r that starts i bytes before its sample is found in another one of its group."""
-    m = len(contexts)
-    right, left = np.zeros((m, 208), np.uint8), np.zeros((m, 168), np.uint8)
-    for r, c in enumerate(contexts):
-        raw = np.frombuffer(c, np.uint8) + np.uint8(1)  # 0 stands for no byte; UTF-8 has no byte 255
-        before, after = raw[: most[r]], raw[most[r] :]
-        left[r, : len(before)] = before[::-1]
-        right[r, : len(after)] = after
+def repeated(group: np.ndarray, most: np.ndarray, least: np.ndarray, lefts: list[bytes], rights: list[bytes]) -> np.ndarray:
+    """marks[r, i]: whether the window that starts i bytes before sample r is found at another sample of its group."""
+    m = len(lefts)
+    right, left = np.zeros((m, SIDE), np.uint8), np.zeros((m, SIDE), np.uint8)
+    for r, (x, y) in enumerate(zip(lefts, rights, strict=True)):
+        left[r, : len(x)] = np.frombuffer(x, np.uint8)[::-1] + np.uint8(1)  # 0 stands for no byte; UTF-8 has no byte 255
+        right[r, : len(y)] = np.frombuffer(y, np.uint8) + np.uint8(1)
     order_r, shared_r = _classes(right, group)
     order_l, shared_l = _classes(left, group)
-    marks = np.zeros((m, SPAN), bool)
+    marks = np.zeros((m, SIDE + 1), bool)
     rank_r, rank_l = np.empty(m, np.int64), np.empty(m, np.int64)
     for i in range(int(least.min()), int(most.max()) + 1):
         active = np.flatnonzero((least <= i) & (i <= most))
         if len(active) < 2:
             continue
-        rank_r[order_r] = np.cumsum(shared_r < LENGTH - i)
-        rank_l[order_l] = np.cumsum(shared_l < max(i, 0))
+        rank_r[order_r] = np.cumsum(shared_r < SIDE - i)
+        rank_l[order_l] = np.cumsum(shared_l < i)
         both = rank_l[active] * (m + 1) + rank_r[active]
         _, inverse, count = np.unique(both, return_inverse=True, return_counts=True)
         marks[active, i] = count[inverse] > 1
@@ -184,20 +239,18 @@ def repeated(group: np.ndarray, most: np.ndarray, least: np.ndarray, contexts: l
 
 
 def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key and part. Blocks of whole buckets are settled together."""
+    """Rows come sorted by rank. Blocks of whole buckets are settled together."""
     held: list[pa.RecordBatch] = []
 
     def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, part = table["key"].to_numpy(), table["part"].to_numpy()
-        group = np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
-        size = np.bincount(group)[group]
-        rows = np.flatnonzero(size > 1)
+        rank = table["rank"].to_numpy()
+        group = np.cumsum(np.concatenate([[True], rank[1:] != rank[:-1]]))
+        rows = np.flatnonzero(np.bincount(group)[group] > 1)
         if not len(rows):
             return
         table, group = table.take(pa.array(rows)), group[rows]
         most, least = table["most"].to_numpy().astype(np.int64), table["least"].to_numpy().astype(np.int64)
-        marks = repeated(group, most, least, table["bytes"].to_pylist())
-        r, i = np.nonzero(marks)
+        r, i = np.nonzero(repeated(group, most, least, table["left"].to_pylist(), table["right"].to_pylist()))
         if not len(r):
             return
         run = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (i[1:] != i[:-1] + 1)]))
@@ -210,8 +263,8 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if sum(b.num_rows for b in held) < BLOCK:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
-        key = table["key"].to_numpy()
-        cut = int(np.searchsorted(key, key[-1], side="left"))
+        rank = table["rank"].to_numpy()
+        cut = int(np.searchsorted(rank, rank[-1], side="left"))
         if cut:
             yield from settle(table.slice(0, cut))
             held = table.slice(cut).to_batches()
@@ -253,23 +306,29 @@ def repeated_windows(docs: DataFrame, text: str) -> DataFrame:
     hashes = map_arrow(keyed.select("t0", "_text"), _hashes, "hash bigint, t0 bigint, twice boolean")
     often = hashes.groupBy("hash").agg(F.min("t0").alias("a"), F.max("t0").alias("b"), F.max("twice").alias("twice")).where("a <> b OR twice").select("hash")
     often = written(often, "suffix-often")
-    spots = map_arrow(keyed, _occurrences, "hash bigint, t0 bigint, t1 bigint, spot bigint, digest bigint")
-    spots = written(spots.join(often, "hash"), "suffix-spots")
-    one = F.struct("t0", "t1", "spot")
-    equal = written(spots.groupBy("hash", "digest").agg(F.min(one).alias("one"), (F.min(one) != F.max(one)).alias("equal")), "suffix-equal")
-    # equal contexts: all windows repeat
-    sure = spots.join(equal.where("equal").select("hash", "digest"), ["hash", "digest"], "left_semi")
-    sure = sure.select("t0", "t1", (F.shiftright("spot", 24) - F.shiftright("spot", 12).bitwiseAND(4095)).alias("first"), (F.shiftright("spot", 24) - F.col("spot").bitwiseAND(4095)).alias("last")).distinct()
-    # the others are looked at in their bucket, which is left out if all of it is settled
-    open_ = equal.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.bool_or(~F.col("equal")).alias("open")).where("open AND n > 1").select("hash", (F.col("n") > MOST).alias("large"))
-    wanted = equal.join(open_, "hash").select(F.col("one.t0").alias("t0"), F.col("one.t1").alias("t1"), F.struct("hash", "digest", F.col("one.spot").alias("spot"), "large").alias("w"))
-    wanted = wanted.groupBy("t0", "t1").agg(F.collect_list("w").alias("wanted"))
-    schema = "key bigint, part int, digest bigint, t0 bigint, t1 bigint, place bigint, most int, least int, bytes binary"
-    texts = keyed.join(wanted, ["t0", "t1"]).select("_text", "t0", "t1", "wanted")
-    contexts = map_arrow(texts, _contexts, schema).dropDuplicates(["key", "part", "t0", "t1", "place"])
-    dealt = contexts.repartition("key").sortWithinPartitions("key", "part")
-    found = map_arrow(dealt, _sorted_buckets, "t0 bigint, t1 bigint, first bigint, last bigint")
-    return sure.unionByName(found)
+    runs = map_arrow(keyed, _runs, "hash bigint, t0 bigint, t1 bigint, first bigint, last bigint").join(often, "hash").drop("hash").distinct()
+    runs = written(runs, "suffix-runs", drop=(often,))
+    wanted = runs.groupBy("t0", "t1").agg(F.collect_list(F.struct("first", "last")).alias("_runs"))
+    texts = keyed.join(wanted, ["t0", "t1"]).select("_text", "t0", "t1", "_runs")
+    samples = written(map_arrow(texts, _samples, _SAMPLE_SCHEMA), "suffix-samples", drop=(runs,))
+    # samples that agree with another one throughout: all of their windows repeat; copies of a text are one place
+    spot = F.struct("t0", "t1", "place")
+    seen = samples.groupBy("rank", "digest").agg(F.min(spot).alias("_one"), F.max(spot).alias("_other"))
+    seen = written(seen.select("rank", "digest", "_one", (F.col("_one") != F.col("_other")).alias("equal")), "suffix-seen")
+    span = [(F.col("place") - F.col("most")).alias("first"), (F.col("place") - F.col("least")).alias("last")]
+    sure = samples.drop("left", "right").join(seen.where("equal").select("rank", "digest"), ["rank", "digest"], "left_semi").select("t0", "t1", *span)
+    # the others are sorted in their bucket, which is left out if all of it is settled
+    open_ = seen.groupBy("rank").agg(F.count(F.lit(1)).alias("_n"), F.bool_or(~F.col("equal")).alias("_open")).where("_open AND _n > 1").select("rank", "_n")
+    ones = seen.join(open_, "rank").select("rank", "digest", F.col("_one.t0").alias("t0"), F.col("_one.t1").alias("t1"), F.col("_one.place").alias("place"), "_n")
+    rows = samples.join(ones, ["rank", "digest", "t0", "t1", "place"]).dropDuplicates(["rank", "digest"])
+    rows = written(rows.select("rank", "t0", "t1", "place", "most", "least", "left", "right", "_n"), "suffix-buckets")
+    small = rows.where(F.col("_n") <= MOST).drop("_n").repartition("rank").sortWithinPartitions("rank")
+    found = map_arrow(small, _sorted_buckets, "t0 bigint, t1 bigint, first bigint, last bigint")
+    keys = map_arrow(rows.where(F.col("_n") > MOST).drop("_n"), _window_keys, "rank bigint, k0 bigint, k1 bigint, t0 bigint, t1 bigint, first bigint")
+    again = keys.groupBy("rank", "k0", "k1").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").drop("_times")
+    large = keys.join(again, ["rank", "k0", "k1"], "left_semi").select("t0", "t1", "first", F.col("first").alias("last"))
+    out = written(sure.distinct().unionByName(found).unionByName(large), "suffix-windows", drop=(samples, seen, rows))
+    return out
 
 
 def remove_repeats(docs: DataFrame, *, text: str = "text", keep: dict[str, Column]) -> DataFrame:
@@ -277,10 +336,17 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", keep: dict[str, Colum
 
     Cuts can fall inside a character; kept_text drops the pieces of such characters, kept_sha256 is of all bytes left.
     """
-    frame = docs.select(*[c.alias(n) for n, c in keep.items()], F.xxhash64(F.col(text)).alias("_t0"), F.xxhash64(F.lit(7), F.col(text)).alias("_t1"), F.col(text).alias("_text"))
-    spans = repeated_windows(docs, text).groupBy(F.col("t0").alias("_t0"), F.col("t1").alias("_t1")).agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
-    copies = frame.groupBy("_t0", "_t1").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
-    known = written(spans.join(copies, ["_t0", "_t1"], "full"), "suffix-known")
-    joined = frame.join(known, ["_t0", "_t1"], "left").drop("_t0", "_t1")
-    schema = ", ".join([f"`{n}` {t}" for n, t in joined.dtypes if n in keep] + ["n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string", "kept_text string"])
-    return map_arrow(joined, _cut, schema)
+    windows = repeated_windows(docs, text)
+    t0, t1 = F.xxhash64(F.col(text)).alias("_t0"), F.xxhash64(F.lit(7), F.col(text)).alias("_t1")
+    named = {f"_x_{n}": c for n, c in keep.items()}
+    frame = docs.select(*[c.alias(n) for n, c in named.items()], t0, t1, F.col(text).alias("_text"))
+    long = F.octet_length("_text") >= LENGTH
+    spans = windows.groupBy(F.col("t0").alias("_t0"), F.col("t1").alias("_t1")).agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
+    copies = frame.where(long).groupBy("_t0", "_t1").agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    known = written(spans.join(copies, ["_t0", "_t1"], "full"), "suffix-known", drop=(windows,))
+    joined = frame.where(long).join(known, ["_t0", "_t1"], "left").drop("_t0", "_t1")
+    short = frame.where(F.coalesce(~long, F.lit(True))).drop("_t0", "_t1").withColumns({"_spans": F.lit(None).cast(joined.schema["_spans"].dataType), "_copies": F.lit(1).cast("bigint")})
+    both = joined.unionByName(short)
+    schema = ", ".join([f"`{n}` {t}" for n, t in both.dtypes if n in named] + ["n_bytes bigint", "n_removed bigint", "n_spans bigint", "kept_sha256 string", "kept_text string"])
+    made = map_arrow(both, _cut, schema)
+    return made.select(*[F.col(f"_x_{n}").alias(n) for n in keep], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")

@@ -54,30 +54,100 @@ def test_op1_base_and_counts(table):
         assert r.score < 0 and math.isfinite(r.score)
 
 
-def test_op1_forward_is_the_sum_over_segmentations():
-    pieces = [b"a", b"b", b"ab", b"ba", b"aba"]
-    scores = np.log(np.array([[0.2, 0.1], [0.1, 0.2], [0.15, 0.1], [0.1, 0.1], [0.05, 0.2]]))
-    lattice = lm_score.Lattice(pieces, scores, np.array([-1.0, -2.0]))
+def test_op1_forward_is_the_sum_over_segmentations(monkeypatch):
+    pieces = [b" ", b" a", b"a", b"b", b"ab", b"ba", b"aba"]
+    scores = np.log(np.array([0.1, 0.15, 0.2, 0.1, 0.15, 0.1, 0.05]))
+    lattice = lm_score.Lattice(pieces, scores)
 
-    def brute(word, j):
+    def brute(word):
         if not word:
             return 1.0
-        return sum(math.exp(scores[i, j]) * brute(word[len(p) :], j) for i, p in enumerate(pieces) if word.startswith(p))
+        return sum(math.exp(scores[i]) * brute(word[len(p) :]) for i, p in enumerate(pieces) if word.startswith(p))
 
-    for word in (b"a", b"ab", b"ababa", b"bbabab"):
-        for j in (0, 1):
-            assert math.isclose(lattice.forward(word)[j], math.log(brute(word, j)) + lattice.stop[j], rel_tol=1e-9)
-    assert math.isfinite(lattice.forward(b"ab" * 3000)[0]) and lattice.forward(b"ab" * 3000)[0] < lattice.forward(b"ab" * 2000)[0]
+    words = [b"a", b"ab", b"ababa", b"bbabab", b""]
+    for word, got in zip(words, lattice.forward_all(words), strict=True):
+        assert math.isclose(got, math.log(brute(b" " + word)), rel_tol=1e-9)
+    long = [b"ab" * 90, b"ab" * 3000, b"ab" * 2000]
+    short = lattice.forward_all(long)
+    monkeypatch.setattr(lm_score.Lattice, "LONG", 10**9)
+    assert np.allclose(lattice.forward_all(long[:1]), short[:1]) and np.isfinite(short).all() and short[1] < short[2]
 
 
-def test_op1_marginal_is_at_least_the_best_path_and_words_sum_to_less_than_one():
-    model = lm_score.Model([10, 0], [3, 0], 3, [b"a", b"b"], np.array([[3.0, 2.0, 4.0], [0.0, 0.0, 0.0]]))
-    lattice = lm_score.Lattice(model.pieces, model.scores, np.array(model.stop))
-    counts = {b"a": [5, 0], b"ab": [2, 0], b"b": [3, 0]}
+def test_op1_the_vocabularys_scores_weigh_the_lattice():
+    import sentencepiece
+
+    file = sentencepiece.SentencePieceProcessor(model_file=VOCAB)
+    pieces, scores, stop = lm_score.lattice_pieces(VOCAB)
+    v = lm_score.vocabulary(VOCAB)
+    where = {p: i for i, p in enumerate(pieces)}
+    for a, b in (("▁t", "in"), ("▁the", "er"), ("ing", "▁a")):
+        i, j = v.pieces.index(a), v.pieces.index(b)
+        x, y = (scores[where[p.replace("▁", " ").encode()]] for p in (a, b))
+        assert math.isclose(x - y, v.logp[i] - v.logp[j], rel_tol=1e-9)
+        assert math.isclose(v.logp[i] - v.logp[j], math.log(file.get_score(j) / file.get_score(i)), rel_tol=1e-9)  # ranks
+    assert math.isclose(np.exp(scores).sum(), 1, rel_tol=1e-9) and stop < 0
+
+
+def test_op1_words_sum_to_one():
     import itertools
 
-    total = sum(math.exp(model.word(counts.get(w, [0, 0]), lattice.forward(w))[0]) for k in range(1, 13) for w in map(bytes, itertools.product(b"ab", repeat=k)))
-    assert 0.9 < total <= 1 + 1e-9
+    pieces = [b" ", b" a", b"a", b"b", b"ab"]
+    share = np.array([0.2, 0.1, 0.3, 0.3, 0.1])
+    lattice, model = lm_score.Lattice(pieces, np.log(share)), lm_score.Model([10, 0], [3, 0], 3)
+    counts = {b"a": [5, 0], b"ab": [2, 0], b"b": [3, 0]}
+    words = [bytes(w) for k in range(13) for w in itertools.product(b"ab", repeat=k)]
+    spelled = lattice.forward_all(words)
+    total = np.exp(model.words(np.array([counts.get(w, [0, 0]) for w in words], float), spelled)).sum(0)
+    assert (total > 0.9).all() and (total <= 1 + 1e-9).all()
+
+
+def brute_scores(rows, learn, classes, learned=True):
+    """Scores of whole texts from counts and the lattice, without the operator's tables."""
+    pieces, scores, stop = lm_score.lattice_pieces(VOCAB)
+    lattice = lm_score.Lattice(pieces, scores)
+    named = [c for c, _ in sorted(collections.Counter(c for c, x in zip(classes, learn, strict=True) if x).items(), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))] or [None]
+    counts = [collections.Counter() for _ in named]
+    split = [[*re.findall(WORD, lower(t)), " "] for t in rows]
+    for words, c, x in zip(split, classes, learn, strict=True):
+        if x:
+            counts[named.index(c)].update(words)
+    n, v = [sum(c.values()) for c in counts], [len(c) for c in counts]
+    everywhere = sum(counts, collections.Counter())
+    total, types, found = sum(n), len(everywhere), {}
+
+    def word(w):
+        if w not in found:
+            own = math.exp(stop if w == " " else lattice.forward_all([w.encode()])[0])
+            if not learned or not total:
+                found[w] = [own] * len(n)
+            else:
+                whole = max(everywhere[w] - 0.7, 0) / total + 0.7 * types / total * own
+                found[w] = [max(c[w] - 0.7, 0) / max(a, 1) + (0.7 * b / a if a else 1) * (0.2 * whole + 0.8 * own) for c, a, b in zip(counts, n, v, strict=True)]
+        return found[w]
+
+    out = []
+    for words in split:
+        each = [math.log((a + 1) / (total + len(n))) + sum(math.log(word(w)[j]) for w in words) for j, a in enumerate(n)]
+        out.append((max(each) + math.log(sum(math.exp(x - max(each)) for x in each))) / math.log(10))
+    return out
+
+
+@pytest.mark.parametrize("learned", [True, False])
+def test_op1_scores_of_whole_texts(spark, docs, learned):
+    """Brute force, and the same for inputs whose rows have no fixed place."""
+    rows = docs.select("doc_id", "text", "lang").collect()
+    rows = [*rows, *rows[:3], *rows[:1]]
+    learn = [zlib.crc32(str(r.doc_id).encode()) % 7 != 2 for r in rows]
+    want = collections.defaultdict(list)
+    for r, x in zip(rows, brute_scores([r.text for r in rows], learn, [r.lang for r in rows], learned), strict=True):
+        want[r.doc_id].append(x)
+    frame = spark.createDataFrame(rows, docs.select("doc_id", "text", "lang").schema)
+    for table in (frame.repartition(5), frame.join(frame.select("doc_id").distinct(), "doc_id")):
+        got = collections.defaultdict(list)
+        for r in lm_score.score_texts(table, learn=queries.id_mod(7) != 2, vocab_path=VOCAB, classes="lang", keep={"doc_id": F.col("doc_id")}, head=200, learned=learned).collect():
+            got[r.doc_id].append(r.score)
+        assert {i: len(x) for i, x in got.items()} == {i: len(x) for i, x in want.items()}
+        assert all(np.allclose(sorted(got[i]), sorted(want[i]), rtol=1e-9) for i in want)
 
 
 def test_op2_edits_and_neighbours(table):
@@ -223,7 +293,17 @@ def test_op6_bytes(table):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (len(b), int(mask.sum()), spans, hashlib.sha256(rest).hexdigest())
 
 
-@pytest.mark.parametrize("most", [1, 512])
+def test_op6_the_cover_meets_every_pair_of_windows():
+    n, cover = suffix_dedup.MODULUS, set(suffix_dedup.COVER)
+    for i in range(n):
+        for j in range(n):
+            assert any((i + d) % n in cover and (j + d) % n in cover for d in range(n))
+    for first, last, size in ((0, 0, 200), (5, 300, 501), (146, 146, 400), (70, 95, 295)):
+        brute = [p for p in range(size) if p % n in cover and first <= p <= last + suffix_dedup.SIDE and p + suffix_dedup.RANKED <= size]
+        assert suffix_dedup.sample_places(first, last, size).tolist() == brute
+
+
+@pytest.mark.parametrize("most", [1, 4096])
 def test_op6_edited_passages(spark, monkeypatch, most):
     import random
 
@@ -238,31 +318,20 @@ def test_op6_edited_passages(spark, monkeypatch, most):
     test_op6_bytes(spark.createDataFrame([*rows, (200, "a" * 199), (201, "a" * 201), (202, "ab" * 500), (203, "xab" * 300)], "doc_id long, text string"))
 
 
-def unigram_processor():
-    """The vocabulary as a unigram model of the tokenizer library: the same pieces, scores and fallback."""
-    import sentencepiece
-    from sentencepiece import sentencepiece_model_pb2 as pb
-
-    proto = pb.ModelProto()
-    with open(VOCAB, "rb") as f:
-        proto.ParseFromString(f.read())
-    proto.trainer_spec.model_type = 1
-    return sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-
-
-def test_op7_paths_are_as_good_as_the_tokenizers(table):
-    """No path that the library finds is better than that of the count-only recursion."""
-    own, (pieces, _) = unigram_processor(), token_counts.vocabulary(VOCAB)
-    score, counted = dict(pieces), token_counts.counter(VOCAB)
+def test_op7_counts_are_the_tokenizers(table):
+    """Whole texts, and texts made of what is odd for a tokenizer, against the library's own counts."""
+    v = token_counts.vocabulary(VOCAB)
+    own, counted = token_counts.tokenizer(v), token_counts.counter(VOCAB)
+    score = dict(zip(v.pieces, v.logp, strict=True))
     got = token_counts.count_tokens(table, vocab_path=VOCAB, keep=["doc_id", "text"]).collect()
     assert len(got) == table.count()
     for r in got:
-        for word in set((r["text"] or "").split(" ")[:100]):
-            if word and all(c in counted.single for c in word):
-                best = own.nbest_encode_as_pieces(word, 1)[0]
-                assert counted.text(word)[1] >= sum(score[p] for p in best), word  # it leaves the best path out for some words
-        words = re.findall("▁+[^▁]*", "▁" + (r["text"] or "").replace(" ", "▁")) if r["text"] else []
-        assert r["n_tokens"] == sum(counted.best(w)[0] for w in words)
+        said = own.encode(r["text"] or "", add_special_tokens=False)
+        assert r["n_tokens"] == len(said.ids), r["text"]
+        if not any(t.startswith("<0x") for t in said.tokens):
+            assert math.isclose(r["token_score"], sum(score[t] for t in said.tokens), rel_tol=1e-9, abs_tol=1e-9)
+    for t in ("", " ", "  ", " a", "a ", "▁a", "a▁▁b", "日本語 x\x00 \n\n tab\t", "<unk> <0x0A> </s>", "x" * 5000, "é😀 😀😀", "the the  the"):
+        assert counted.text(t)[0] == len(own.encode(t, add_special_tokens=False).ids), t
 
 
 def test_op7_brute_force_paths():
