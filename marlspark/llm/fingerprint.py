@@ -17,12 +17,12 @@ empty result; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlspark.llm.frames import map_arrow, small_batches, written
@@ -53,37 +53,56 @@ def _draws(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out
 
 
-def fingerprints(w: Words) -> np.ndarray:
-    """(texts, SAMPLES) of 16-bit samples."""
+def _least(t: np.ndarray, n: np.ndarray, draws: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each sample the least value of the terms t of weights n, the place of its term and its level."""
+    r, lnc, b = draws
+    value = lnc + r * b - r  # at weight 1, where the level is 0
+    many = np.flatnonzero(n > 1)
+    step = np.zeros((0, SAMPLES))
+    if len(many):
+        step = np.floor(np.log(n[many]).astype(np.float32)[:, None] / r[many] + b[many])
+        value[many] = lnc[many] - r[many] * (step - b[many]) - r[many]
+    best, every = value.argmin(0), np.arange(SAMPLES)
+    level = np.zeros(SAMPLES, np.int64)
+    if len(many):
+        back = np.full(len(t), -1)
+        back[many] = np.arange(len(many))
+        hit = back[best]
+        level[hit >= 0] = step[hit[hit >= 0], every[hit >= 0]].astype(np.int64)
+    return value[best, every], best, level
+
+
+def fingerprints(w: Words, block: int = 1 << 15) -> np.ndarray:
+    """(texts, SAMPLES) of 16-bit samples. A text of more than block different terms is taken block by block, in bounded memory."""
     docs = len(w.count)
     out = np.zeros((docs, SAMPLES), np.uint16)
     rows = [np.unique(w.hash[a : a + c], return_counts=True) for a, c in zip(w.first.tolist(), w.count.tolist(), strict=True)]
-    if not len(w.hash):
-        return out
-    terms, place = np.unique(np.concatenate([t for t, _ in rows]), return_inverse=True)
-    r, lnc, b = _draws(terms)
-    once = lnc + r * b - r  # the value at weight 1, where t is 0
-    at, every = 0, np.arange(SAMPLES)
+    small = [t for t, _ in rows if 0 < len(t) <= block]
+    drawn, at = None, 0
+    if small and sum(map(len, small)) <= 8 * block:
+        # words that texts of a batch share are drawn for once
+        terms, place = np.unique(np.concatenate(small), return_inverse=True)
+        drawn = _draws(terms)
     for i, (t, n) in enumerate(rows):
         if not len(t):
             continue
-        k = place[at : at + len(t)]
-        at += len(t)
-        value = once[k]
-        many = np.flatnonzero(n > 1)
-        step = np.zeros(0)
-        if len(many):
-            km = k[many]
-            step = np.floor(np.log(n[many]).astype(np.float32)[:, None] / r[km] + b[km])
-            value[many] = lnc[km] - r[km] * (step - b[km]) - r[km]
-        best = value.argmin(0)
-        level = np.zeros(SAMPLES, np.int64)
-        if len(many):
-            back = np.full(len(t), -1)
-            back[many] = np.arange(len(many))
-            hit = back[best]
-            level[hit >= 0] = step[hit[hit >= 0], every[hit >= 0]].astype(np.int64)
-        out[i] = (mix(t[best] + level.astype(np.uint64) * STEP) >> np.uint64(48)).astype(np.uint16)
+        best = None
+        for a in range(0, len(t), block):
+            part, weight = t[a : a + block], n[a : a + block]
+            if drawn is not None and len(t) <= block:
+                k = place[at : at + len(t)]
+                at += len(t)
+                draws = tuple(x[k] for x in drawn)
+            else:
+                draws = _draws(part)
+            value, where, level = _least(part, weight, draws)
+            code = mix(part[where] + level.astype(np.uint64) * STEP)
+            if best is None:
+                best, codes = value, code
+            else:
+                codes = np.where(value < best, code, codes)
+                best = np.minimum(value, best)
+        out[i] = (codes >> np.uint64(48)).astype(np.uint16)
     return out
 
 
@@ -143,6 +162,19 @@ def _told(rows: list[tuple], following: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(cols)
 
 
+def range_of(k: Column, bounds: list[int]) -> Column:
+    """How many of the ascending bounds are less than k; found in two steps of about the root of their number."""
+    wide = max(1, math.isqrt(len(bounds)))
+    chunks = [bounds[i : i + wide] for i in range(0, len(bounds), wide)]
+    if not chunks:
+        return F.lit(0)
+    less = lambda a: F.size(F.filter(a, lambda x: x < k))
+    long = lambda x: F.lit(x).cast("bigint")
+    full = less(F.array(*[long(c[-1]) for c in chunks]))  # chunks that are less than k as a whole
+    parts = F.array(*[F.array(*map(long, c)) for c in [*chunks, []]])
+    return (full * wide + F.when(full < len(chunks), less(parts[full])).otherwise(len(bounds) - len(chunks) * wide)).cast("int")
+
+
 def edit_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row its fingerprint, that of its edited text (see edited), and its likeness to that and to the next row."""
     spark = docs.sparkSession
@@ -150,13 +182,8 @@ def edit_report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     frame = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_LOWEST)).alias("_k"), F.col(text).alias("_text"))
     share = [i / parts for i in range(1, parts)] or [0.5]
     cuts = frame.agg(F.percentile_approx("_k", F.array(*map(F.lit, share)), 100 * parts)).first()[0]
-    bounds = np.unique(np.array(cuts or [], np.int64))
-
-    @F.pandas_udf("int")
-    def range_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, k.to_numpy(), side="left").astype("int32"))
-
-    ranged = frame.withColumn("_part", range_of("_k"))
+    bounds = sorted(set(cuts or []))
+    ranged = frame.withColumn("_part", range_of(F.col("_k"), bounds))
     # one row for each range
     firsts = written(ranged.groupBy("_part").agg(F.min("_k").alias("_k")), "ranges")
     order = sorted((r["_part"], r["_k"]) for r in firsts.collect())
