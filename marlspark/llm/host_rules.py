@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlspark.llm.frames import map_arrow, row_key, small_batches, written
+from marlspark.llm.frames import fresh, map_arrow, row_key, small_batches, written
 from marlspark.llm.words import split_words, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
@@ -147,17 +147,20 @@ def host_verdicts(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def judge(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """measured with base_failed, failed (its host rules, as an array) and kept.
 
-    Only documents that a host rule could reject are joined with the verdicts, salted over 32 keys a host, so
-    that a host with a third of all documents is dealt to many tasks.
+    Only documents that a host rule could reject are joined with the verdicts, salted by a hash over as many keys as
+    the host has thousands of documents, so that a host with a third of all documents is dealt to many tasks.
     """
     failed = F.filter(F.array(*[F.when(F.expr(c), F.lit(r)) for r, c in HOST_RULES.items()]), lambda x: x.isNotNull())
     rows = measured.withColumns({"base_failed": F.expr(BASE_FAILED), "failed": failed})
     open_ = ~F.col("base_failed") & (F.size("failed") > 0)
     sure = rows.where(~open_).withColumn("kept", ~F.col("base_failed"))
-    salt = F.pmod(F.xxhash64(*[c for c in measured.columns if c != "_host"]), F.lit(32)).cast("int")
-    verdict = host_verdicts(measured, limits).where(F.size("enforced") > 0)
-    verdict = verdict.select(F.col("_host").alias("_h"), "enforced", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("_s"))
-    joined = rows.where(open_).withColumn("_salt", salt).join(verdict, F.col("_host").eqNullSafe(F.col("_h")) & (F.col("_salt") == F.col("_s")), "left")
+    told = host_verdicts(measured, limits)
+    salts = (F.col("n_docs") / 1000).cast("int") + 1
+    verdict = told.where(F.size("enforced") > 0).select(F.col("_host").alias("_h"), "enforced", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_s"))
+    # the number of salts of a host is a few bytes for each host; Spark broadcasts it only while it is small
+    sized = rows.where(open_).join(told.select(F.col("_host").alias("_g"), salts.alias("_salts")), F.col("_host").eqNullSafe(F.col("_g")))
+    salt = F.pmod(F.xxhash64(*[c for c in measured.columns if c != "_host"]), F.col("_salts")).cast("int")
+    joined = sized.withColumn("_salt", salt).join(verdict, F.col("_host").eqNullSafe(F.col("_h")) & (F.col("_salt") == F.col("_s")), "left")
     kept = ~F.coalesce(F.arrays_overlap("failed", "enforced"), F.lit(False))
     return sure.unionByName(joined.withColumn("kept", kept).select(*sure.columns))
 
@@ -174,7 +177,8 @@ def apply_rules(docs: DataFrame, *, text: str = "text", host: str = "source", li
     Rows are told apart by 128 bits over all columns; rows that are equal throughout share their verdict. Only the
     keys of rejected rows are joined, by an anti join.
     """
-    keys = row_key(*docs.columns)
-    measured = written(measure(docs, text, host, {"_k0": keys[0], "_k1": keys[1]}), "measures")
-    gone = judge(measured, limits).where("NOT kept").select("_k0", "_k1").distinct()
-    return docs.withColumns({"_k0": keys[0], "_k1": keys[1]}).join(gone, ["_k0", "_k1"], "left_anti").select(*docs.columns)
+    k0, k1 = fresh(docs.columns, "_k0", "_k1")
+    marked = docs.withColumns(dict(zip((k0, k1), row_key(*docs.columns), strict=True)))
+    measured = written(measure(marked, text, host, {"_x_k0": F.col(k0), "_x_k1": F.col(k1)}), "measures")
+    gone = judge(measured, limits).where("NOT kept").select(F.col("_x_k0").alias(k0), F.col("_x_k1").alias(k1)).distinct()
+    return marked.join(gone, [k0, k1], "left_anti").select(*docs.columns)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlspark.llm.frames import row_key, written
+from marlspark.llm.frames import fresh, row_key, written
 
 
 #: Columns that carry the schedule; columns of the input with these names are replaced.
@@ -132,11 +132,12 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     The order is in these two columns, whatever becomes of the files; rows are also dealt into files by ranges of slots.
     Rows that are repeated have places of their own.
     """
-    names = [c for c in docs.columns if c not in MIXED]
+    names = [c for c in docs.columns if c.lower() not in MIXED]
+    k0, k1, row = fresh(names, "_k0", "_k1", "_row")
     keys = row_key(*names)
-    rows = written(docs.select(*names, keys[0].alias("_k0"), keys[1].alias("_k1"), F.monotonically_increasing_id().alias("_row")), "mix-docs")
-    found = schedule(rows, keep={c: F.col(c) for c in ("_k0", "_k1", "_row")}, **options)
-    found = found.select("_row", F.col("slot").alias("mix_slot"), F.col("order").alias("mix_order"))
-    joined = rows.join(written(found, "mix-slots"), "_row")
-    order = ["mix_slot", "mix_order", "_k0"]
+    rows = written(docs.select(*names, keys[0].alias(k0), keys[1].alias(k1), F.monotonically_increasing_id().alias(row)), "mix-docs")
+    found = schedule(rows, keep={c: F.col(c) for c in (k0, k1, row)}, **options)
+    found = found.select(row, F.col("slot").alias("mix_slot"), F.col("order").alias("mix_order"))
+    joined = rows.join(written(found, "mix-slots"), row)
+    order = ["mix_slot", "mix_order", k0]
     return joined.repartitionByRange(*order).sortWithinPartitions(*order).select(*names, *MIXED)
