@@ -10,8 +10,8 @@ last epoch the best packing of the lot stands. An island ends early where no pac
 Bins that are full, or lack few enough tokens, are final; the others are dealt anew into fewer lots, where a bin stays
 together as part of a starting packing, until one lot is left.
 
-With an order (that of a mixing schedule) lots are ranges of it, of about equal size in each round, instead of dealt
-by hash, and sequences are numbered by it: a sequence stands at the mean place of its tokens. A round moves tokens only
+With an order (that of a mixing schedule) lots are ranges of it, of about equal size in each round and half as large, instead
+of dealt by hash, and sequences are numbered by it: a sequence stands at the mean place of its tokens. A round moves tokens only
 within its lots, so a prefix of the sequences differs from the prefix of the order by at most the lot at its end
 in each round, whatever the amount of data.
 
@@ -256,7 +256,7 @@ def pack(pieces: DataFrame, *, limit: int, rounds: int = 8, order: list[str] | N
     for round_ in range(rounds):
         if not left:
             break
-        lots = -(-left // LOT)
+        lots = -(-left * (2 if order else 1) // LOT)
         last = stalled or lots == 1 or round_ == rounds - 1
         dealt = _in_ranges(open_, lots) if order else open_.withColumn("lot", F.pmod(F.xxhash64(F.lit(round_), "bin"), F.lit(lots)))
         dealt = dealt.select("_id", "length", "row", "bin", F.col("lot").cast("bigint").alias("lot"), F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"))

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +186,21 @@ def test_op2_collisions_follow_generalised_jaccard(spark):
     assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.09
 
 
+def test_op2_blocks_of_a_long_text_give_the_same():
+    texts = pa.array([" ".join(f"w{i % 977}" for i in range(3000)), "a b a", "", " ".join(f"v{i}" for i in range(500))])
+    words = fingerprint.split_words(*fingerprint.text_bytes(texts))
+    assert (fingerprint.fingerprints(words) == fingerprint.fingerprints(words, block=100)).all()
+
+
+def test_op2_ranges(spark):
+    rng = np.random.default_rng(3)
+    k = [-(1 << 63), *rng.integers(-50, 50, 300).tolist(), 1 << 62]
+    df = spark.createDataFrame([(x,) for x in k], "k long")
+    for bounds in ([], [0], sorted(set(rng.integers(-60, 60, 17).tolist())), list(range(-40, 40, 3))):
+        got = df.select("k", fingerprint.range_of(F.col("k"), bounds).alias("r")).collect()
+        assert all(r["r"] == np.searchsorted(bounds, r["k"], side="left") for r in got)
+
+
 def test_op3_measures_and_verdicts(table):
     got = host_rules.rule_report(table)
     texts = collections.defaultdict(list)
@@ -259,6 +275,27 @@ def test_op5_ranks_held_out_documents(spark):
     assert ((told.score >= 0.3).astype(int) == told.predicted).all()
 
 
+def test_op5_weights_minimise_the_loss_over_all_pairs():
+    """The pair loss itself, over every pair of a good and a bad row, against small steps away from the weights."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, 3))
+    good = x @ [1.0, -0.5, 0.0] + rng.normal(size=40) > 0
+    ranker = quality_rank.fit(x, good, cut=0.3, pairs=10**9)
+    z = np.clip((x - ranker.mean) / ranker.scale, -6, 6)
+
+    def loss(w):
+        diff = np.array([a - b for a in z[good] for b in z[~good]])
+        return np.log1p(np.exp(-(diff @ w))).mean() + 0.5e-3 * (w @ w)
+
+    least = loss(ranker.weight)
+    assert all(loss(ranker.weight + d) > least for k in range(3) for d in (np.eye(3)[k] * 0.01, -np.eye(3)[k] * 0.01))
+    told = z @ ranker.weight
+    cuts = [t for a, b in zip(np.sort(told), np.sort(told)[1:], strict=False) for t in [(a + b) / 2]]
+    right = lambda t: int(((told >= t) == good).sum())
+    assert right(ranker.threshold) >= max(map(right, cuts)) - 1
+    assert ((ranker.score(x) >= 0.3) == (told >= ranker.threshold)).all()
+
+
 def test_op5_odd(table, odd):
     labels = odd.select("doc_id", F.pmod("doc_id", F.lit(2)).cast("int").alias("quality"))
     for of in (None, F.lit(False), F.col("quality") == 1):
@@ -558,6 +595,106 @@ def test_pipeline_sequences_follow_the_weights(spark, monkeypatch):
         assert np.abs(h - total * size[s] / sum(size.values()))[: int(0.9 * ends)].max() < most, s
 
 
+CLASHES = ["_k0", "_k1", "_row", "_slot", "_text", "_x_k0", "node", "key", "hub", "source_", "mix_slot"]
+
+
+@pytest.fixture(scope="module")
+def small(spark, odd):
+    """A few rows of each kind, with columns of names that the stages use themselves."""
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{x}" for x in rng.integers(0, 500, 80))
+    make = lambda i: " ".join(f"w{x}" for x in rng.integers(0, 9000, 60)) + f" {i}"
+    rows = [(100 + i, make(i), "en", f"s{i % 3}", 0) for i in range(30)]
+    rows += [(200 + i, make(i) + " " + passage + " " + make(-i), "en", "s1", 0) for i in range(4)]
+    rows += [(300 + i, rows[0][1], "en", "s2", 0) for i in range(3)] + [(400, rows[1][1] + " more", "en", "s0", 0), rows[2], rows[2]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").unionByName(odd.select("doc_id", "text", "lang", "source", "n_chars"))
+    return df.withColumns({c: F.lit(f"own {c}") for c in CLASHES})
+
+
+def stage_rows(name, spark, df):
+    return dict(corpus_pipeline.STAGES)[name](spark, df, "")
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_pipeline_stages_keep_the_columns(spark, small, name):
+    got = stage_rows(name, spark, small)
+    more = [c for c in mixing.MIXED if name == "source_mixing"]
+    assert [c for c in got.columns if c not in more] == [c for c in small.columns if c not in more]
+    for r in got.collect():
+        assert all(r[c] == f"own {c}" for c in CLASHES if c not in more)
+    assert stage_rows(name, spark, small.limit(0)).count() == 0
+
+
+def test_pipeline_quality_rules_against_brute_force(spark, small):
+    """Rows of a text go together: those of the base rule, and those that fail a rule of their host."""
+    got = collections.Counter(rows_of(stage_rows("quality_rules", spark, small), "doc_id", "text"))
+    report = collections.Counter((r.doc_id, r.n_words, r.n_symbols) for r in host_rules.rule_report(small).collect() if r.kept)
+    assert sum(got.values()) == sum(report.values())
+    for (i, t), n in collections.Counter(rows_of(small, "doc_id", "text")).items():
+        words = re.findall(WORD, t or "")
+        assert got[i, t] in (0, n)
+        if len(words) < 20:
+            assert not got[i, t]
+        elif i is not None and i >= 100:
+            assert got[i, t] == n
+
+
+def test_pipeline_near_dedup_against_brute_force(spark, small):
+    rows = rows_of(small, "doc_id", "text")
+    want, sets = linked_components(rows, 80)
+    got = rows_of(stage_rows("near_dedup", spark, small), "doc_id", "text")
+    alone = {r for r in rows if r[0] is None or not re.findall(WORD, r[1] or "")}
+    kept = [r for r in got if r not in alone]
+    assert len(got) == len(set(got)) and set(got) >= alone
+    assert sorted(i for i, _ in kept) == sorted({want[i] for i in want if any(sets[i])})
+
+
+def test_pipeline_suffix_dedup_against_brute_force(spark, small):
+    raw = [(i, (t or "").encode(), t) for i, t in rows_of(small, "doc_id", "text")]
+    seen = collections.Counter(b[k : k + 200] for _, b, _ in raw for k in range(len(b) - 199))
+    want = collections.Counter()
+    for i, b, t in raw:
+        mask = np.zeros(len(b), bool)
+        for k in range(len(b) - 199):
+            if seen[b[k : k + 200]] > 1:
+                mask[k : k + 200] = True
+        left = bytes(np.frombuffer(b, np.uint8)[~mask]).decode("utf-8", "ignore")
+        want[i, None if t is None else left, len(left)] += 1
+    assert collections.Counter(rows_of(stage_rows("suffix_dedup", spark, small), "doc_id", "text", "n_chars")) == want
+
+
+def test_pipeline_mixing_and_packing_lose_nothing(spark, small):
+    from tokenizers import Tokenizer
+
+    made = stage_rows("source_mixing", spark, small)
+    assert collections.Counter(rows_of(made, "doc_id", "text", "source")) == collections.Counter(rows_of(small, "doc_id", "text", "source"))
+    own, got = Tokenizer.from_file(BPE), stage_rows("best_fit_packing", spark, made).collect()
+    want = collections.Counter()
+    for i, t in rows_of(small, "doc_id", "text"):
+        want[i, tuple([*own.encode(t or "", add_special_tokens=False).ids, 2])] += 1
+    whole = collections.defaultdict(list)
+    for r in got:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        whole[r.sequence_id].append(r)
+    for rows in whole.values():
+        rows.sort(key=lambda r: r.offset)
+        assert [r.offset for r in rows] == [sum(x.length for x in rows[:k]) for k in range(len(rows))] and sum(r.length for r in rows) <= 1024
+    assert sum(r.length for r in got) == sum(n * len(t) for (_, t), n in want.items())
+    single = collections.Counter((r.doc_id, tuple(r.ids)) for r in got if r.length < 1024 and r.start == 0)
+    assert all(single[k] == n for k, n in want.items() if len(k[1]) < 1024)
+
+
+def test_pipeline_run_on_the_small_tables(spark):
+    """The stages one after the other, each by its own operator on what the one before kept."""
+    got = corpus_pipeline.run(spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    by_hand = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        by_hand = stage(spark, by_hand, SF)
+    ids = {r[0] for r in rows_of(by_hand, "doc_id")}
+    assert {r[0] for r in rows_of(got, "doc_id")} == ids and 0 < len(ids) < docs.count()
+
+
 def test_mixed_repeated_rows_have_their_own_places(spark):
     df = spark.createDataFrame([(1, "x" * 100, "a", None)] * 50 + [(2, None, None, 3)] * 2, "doc_id long, text string, source string, mix_slot int")
     got = mixing.mixed(df, block_bytes=100)
