@@ -1,7 +1,7 @@
 """Regions, rings and matrices of labels.
 
 Regions and matrices are plain column expressions. Rings come in four nested encodings, which SQL cannot take apart, so
-what needs them runs in Arrow batches; each function there also works on one Python value.
+what needs them runs in Arrow batches, on the Python values of marlspark.kernels.shapes.
 """
 
 from __future__ import annotations
@@ -9,27 +9,29 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Ring = list[tuple[float, float]]
-#: Smallest area that counts as a polygon after clipping.
-LEAST_AREA = 1e-9
+from marlspark.kernels.shapes import Matrix, box_share, clipped, moved_rings, ring_area, rings_of
+
+__all__ = ["Matrix", "affine", "box_metric", "box_share", "clipped", "composed", "matrix_rows", "moved", "moved_rings", "reconciled_roi", "ring_area", "rings_of", "roi_bounds", "rotation"]
 
 
 def roi_bounds(value: Column, width: Column, height: Column) -> Column:
     """struct(l, t, r, b, error) of a region in JSON: [w, h], [l, t, r, b], {x, y, width, height} or {width, height}.
 
-    error is '' for a region inside the frame and with an area; otherwise the corners are null.
+    error is '' for a region inside the frame and with an area; otherwise the corners are null. What is not a number is
+    malformed, never a fault of the job; x and y count only where both are there; a null region is missing.
     """
-    at = lambda p: F.get_json_object(value, p).cast("double")
+    text = lambda p: F.get_json_object(value, p)
+    at = lambda p: text(p).try_cast("double")
     n = F.json_array_length(value)
-    keyed = n.isNull() & at("$.width").isNotNull() & at("$.height").isNotNull()
-    x, y = F.coalesce(at("$.x"), F.lit(0.0)), F.coalesce(at("$.y"), F.lit(0.0))
+    keyed = n.isNull() & text("$.width").isNotNull() & text("$.height").isNotNull()
+    placed = text("$.x").isNotNull() & text("$.y").isNotNull()
     zero = F.lit(0.0)
+    x, y = (F.when(placed, at(p)).otherwise(zero) for p in ("$.x", "$.y"))
     corners = {
         "l": F.when(n == 2, zero).when(n == 4, at("$[0]")).when(keyed, x),
         "t": F.when(n == 2, zero).when(n == 4, at("$[1]")).when(keyed, y),
@@ -76,73 +78,16 @@ def moved(m: Column, u: Column, v: Column) -> Column:
     return F.struct((m["a"] * u + m["b"] * v + m["x"]).alias("x"), (m["d"] * u + m["e"] * v + m["y"]).alias("y"))
 
 
-def rings_of(value: object) -> list[Ring]:
-    """Rings of points given flat (x, y, x, y, ...), as {x, y}, as pairs, or as a list of any of these.
+def rotation(degrees: Column, u: Column, v: Column) -> Column:
+    """The matrix that turns about the point (u, v)."""
+    c, s = F.cos(F.radians(degrees)), F.sin(F.radians(degrees))
+    return affine(c, -s, s, c, u - c * u + s * v, v - s * u - c * v)
 
-    Nothing, or an empty list, is no ring. A ring has at least three points; anything else is a ValueError.
-    """
-    if value is None or value == []:
-        return []
-    if not isinstance(value, list):
-        raise ValueError("points are not a list")
-    number = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool)
-    if all(number(v) for v in value):
-        if len(value) < 6 or len(value) % 2:
-            raise ValueError("flat points are not three pairs or more")
-        ring = list(zip(map(float, value[::2]), map(float, value[1::2]), strict=True))
-    elif all(isinstance(v, dict) and number(v.get("x")) and number(v.get("y")) for v in value):
-        ring = [(float(v["x"]), float(v["y"])) for v in value]
-    elif all(isinstance(v, list) and len(v) == 2 and all(map(number, v)) for v in value):
-        ring = [(float(v[0]), float(v[1])) for v in value]
-    elif all(isinstance(v, list) for v in value):
-        return [ring for v in value for ring in rings_of(v)]
-    else:
-        raise ValueError("points are of mixed kinds")
-    if len(ring) < 3:
-        raise ValueError("a ring has fewer than three points")
-    return [ring]
-
-
-def clipped(ring: Ring, box: tuple[float, float, float, float]) -> Ring:
-    """The part of a simple ring in the box; parts that only the box's edge joins stay one ring."""
-    pts = np.asarray(ring, float).reshape(-1, 2)
-    for axis, bound, sign in ((0, box[0], 1.0), (0, box[2], -1.0), (1, box[1], 1.0), (1, box[3], -1.0)):
-        if not len(pts):
-            break
-        depth = sign * (pts[:, axis] - bound)
-        after, after_depth = np.roll(pts, -1, 0), np.roll(depth, -1)
-        crosses = (depth >= 0) != (after_depth >= 0)
-        share = np.divide(depth, depth - after_depth, out=np.zeros_like(depth), where=crosses)
-        cut = pts + share[:, None] * (after - pts)
-        pts = np.stack([pts, cut], 1).reshape(-1, 2)[np.stack([depth >= 0, crosses], 1).reshape(-1)]
-    return [(float(x), float(y)) for x, y in pts]
-
-
-def ring_area(ring: Ring) -> float:
-    if len(ring) < 3:
-        return 0.0
-    x, y = np.asarray(ring, float).T
-    return float(abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2)
-
-
-def box_share(points: object, box: tuple[float, float, float, float]) -> tuple[float, int]:
-    """(largest share of the box that the bounds of a clipped ring cover, number of rings with an area in it)."""
-    whole = (box[2] - box[0]) * (box[3] - box[1])
-    shares = []
-    for ring in rings_of(points):
-        part = clipped(ring, box)
-        if ring_area(part) >= LEAST_AREA:
-            x, y = np.asarray(part).T
-            shares.append(float(np.ptp(x) * np.ptp(y)) / whole)
-    return max(shares, default=0.0), len(shares)
-
-
-def moved_rings(points: object, m: tuple[float, float, float, float, float, float], box: tuple[float, float, float, float], least: float = 1.0) -> list[Ring]:
-    """The rings under the matrix (a, b, d, e, x, y), clipped to the box, those of an area of least or more, largest first."""
-    a, b, d, e, x, y = m
-    parts = [clipped([(a * u + b * v + x, d * u + e * v + y) for u, v in ring], box) for ring in rings_of(points)]
-    sized = [(ring_area(p), p) for p in parts]
-    return [p for size, p in sorted(sized, key=lambda s: -s[0]) if size >= least]
+
+def matrix_rows(m: Column) -> Column:
+    """The matrix as three rows of three numbers."""
+    row = lambda *cells: F.array(*cells)
+    return F.array(row(m["a"], m["b"], m["x"]), row(m["d"], m["e"], m["y"]), row(F.lit(0.0), F.lit(0.0), F.lit(1.0)))
 
 
 METRIC = T.StructType([T.StructField("share", T.DoubleType()), T.StructField("parts", T.IntegerType()), T.StructField("error", T.StringType())])
@@ -156,7 +101,7 @@ def box_metric(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd
         for text, *corners in zip(points, box["l"], box["t"], box["r"], box["b"], strict=True):
             try:
                 rows.append((*box_share(None if text is None else json.loads(text), tuple(corners)), ""))
-            except ValueError as fault:
+            except (ValueError, TypeError) as fault:
                 rows.append((None, None, f"{type(fault).__name__}: {fault}"))
         out = pd.DataFrame(rows, columns=["share", "parts", "error"])
         yield out.astype({"share": "float64", "parts": "Int32"})

@@ -25,12 +25,13 @@ def _pick(constrained: list[bool], eligible: list[bool]) -> list[int | None]:
 def greedy_picks(slots: DataFrame, pool: DataFrame, *, group: str, slot: str, constrained: str, rank: str, eligible: str) -> DataFrame:
     """(group, slot, rank) for each slot in ascending order; rank is null where the pool has nothing left for it.
 
-    What a slot gets depends on all before it, so a group is one task; only four narrow columns go there, and the pool
+    Null is a group. What a slot gets depends on all before it, so a group is one task; only four narrow columns go there, and the pool
     is cut to the rows that can be reached: as many eligible and as many other ones as the group has slots.
     """
     size = slots.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     place = F.row_number().over(Window.partitionBy(group, eligible).orderBy(rank))
-    reach = pool.select(group, rank, eligible).join(size, group).withColumn("_p", place).where("_p <= _n")
+    sized = size.select(F.col(group).alias("_group"), "_n")
+    reach = pool.select(group, rank, eligible).join(sized, F.col(group).eqNullSafe(F.col("_group"))).withColumn("_p", place).where("_p <= _n")
     left = slots.select(group, F.col(slot).cast("long").alias("_o"), F.col(constrained).alias("_f"), F.lit(True).alias("_s"))
     right = reach.select(group, F.col(rank).cast("long").alias("_o"), F.col(eligible).alias("_f"), F.lit(False).alias("_s"))
     kind = slots.schema[group].dataType.simpleString()
@@ -77,9 +78,28 @@ def checked_quotas(quotas: list[tuple[str, int]], known: list[str], target: int,
 
 
 def exact_join(left: DataFrame, right: DataFrame, group: list[str], left_order: list[str | Column], right_order: list[str | Column]) -> DataFrame:
-    """The i-th row of the left with the i-th of the right in each group; raises when run if a side has more rows."""
+    """The i-th row of the left with the i-th of the right in each group (null is one); raises when run if a side has more rows."""
     number = lambda df, by: df.withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy(*by)))
     a, b = number(left, left_order).withColumn("_l", F.lit(1)), number(right, right_order).withColumn("_r", F.lit(1))
-    both = a.join(b, [*group, "_i"], "full_outer")
+    b = b.withColumnsRenamed({c: f"_b_{c}" for c in [*group, "_i"]})
+    both = a.join(b, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in [*group, "_i"]], "full_outer")
     fault = F.raise_error(F.lit("sides of a positional join differ in length")).cast("boolean")
-    return both.where(F.when(F.col("_l").isNull() | F.col("_r").isNull(), fault).otherwise(F.lit(True))).drop("_i", "_l", "_r")
+    return both.where(F.when(F.col("_l").isNull() | F.col("_r").isNull(), fault).otherwise(F.lit(True))).drop("_i", "_l", "_r", *[f"_b_{c}" for c in [*group, "_i"]])
+
+
+def eligible_picks(needs: list[str], flags: dict[str, list[bool]], size: int, faults: dict[str, str]) -> list[int]:
+    """For each slot in order the place of its source: the first one left for which the flag that it needs holds ('': any).
+
+    ValueError with the fault of a need that nothing left can fill. The pool is what a plan selects and reserves, so its
+    size is bounded by the configuration; each place is looked at once for each kind of need.
+    """
+    queues = {"": iter(range(size)), **{k: iter([i for i, f in enumerate(v) if f]) for k, v in flags.items()}}
+    taken, out = set(), []
+    for need in needs:
+        kind = need if need in flags else ""
+        place = next((i for i in queues[kind] if i not in taken), None)
+        if place is None:
+            raise ValueError(faults.get(kind, "a slot cannot be filled"))
+        taken.add(place)
+        out.append(place)
+    return out
