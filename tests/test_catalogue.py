@@ -4,6 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+import marlspark.plans.dataset_queries  # noqa: F401  registers its queries
 from marlspark.functions.seeds import stable_seed
 from marlspark.plans.catalogue import QUERIES, SQL
 
