@@ -67,6 +67,11 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--resume", action="store_true")
             sub.add_argument("--trust-plan", action="store_true", help="check the planned sources only, not the whole tree")
             sub.add_argument("--drop-cases", type=_cases, default=set(), metavar="CASE[,CASE...]", help="with --resume: make the samples of these cases anew")
+    sub = commands.add_parser("stage", help="one stage of a whole run in a folder of its own: plan, smoke, generate, resume, verify, upload")
+    sub.add_argument("stage", choices=["plan", "smoke", "generate", "resume", "verify", "upload"])
+    for option in ("--raw-root", "--config", "--output"):
+        sub.add_argument(option, type=Path, required=True)
+    sub.add_argument("--target", type=Path, help="where upload copies the data set")
     commands.add_parser("verify", help="check a data set").add_argument("--output", type=Path, required=True)
     return top
 
@@ -88,7 +93,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         result: dict = {"verified": True}
     else:
         root, config = str(args.raw_root.resolve()), load_config(args.config)
-        if args.command == "generate":
+        if args.command == "stage":
+            from marlspark.plans.run import run_stage
+
+            result = run_stage(spark, args.stage, root, config, out, args.target)
+        elif args.command == "generate":
             result = generate(spark, root, config, args.plan.resolve(), out, args.limit_per_modality, args.resume, args.trust_plan, args.drop_cases)
         else:
             log = logger_of(f"marlspark.{args.command}", Path(out) / "logs" / ("audit.log" if args.command == "audit-raw" else "plan.log"))

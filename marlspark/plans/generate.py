@@ -7,6 +7,7 @@ costs the samples of its task. Folders of files, as readers outside of Spark wan
 from __future__ import annotations
 
 import json
+import resource
 import time
 import zipfile
 from collections.abc import Iterator
@@ -44,8 +45,8 @@ FILES = ["image", "label", "history"]
 #: Columns of the plan that a sample carries on, and those that it is made with.
 CARRIED = ["synthetic_id", "modality", "raw_split", "raw_image_path", "raw_json_path", "source_stem", "form", "axis", "original_battery_id", "original_image_id", "new_battery_id", "new_image_id", "assignment", "quality_label", "partition", "failure_case", "item_seed", "case_seed", "group_key", "group_seed", "replacement_for"]
 _MADE = [c for c in dict.fromkeys([*DATASET_FIELDS, *LINEAGE_FIELDS]) if c not in CARRIED]
-RESULT = ", ".join([*[f"{c} string" for c in CARRIED], *[f"{c} string" for c in [*_MADE, "replacement"]], *[f"{c} binary" for c in FILES], "error string"])
-_NAMES = [*CARRIED, *_MADE, "replacement", *FILES, "error"]
+RESULT = ", ".join([*[f"{c} string" for c in CARRIED], *[f"{c} string" for c in [*_MADE, "replacement"]], *[f"{c} binary" for c in FILES], "error string", "rss long"])
+_NAMES = [*CARRIED, *_MADE, "replacement", *FILES, "error", "rss"]
 
 
 def _one(row: dict[str, Any], config: dict[str, Any], root: str) -> dict[str, Any]:
@@ -60,8 +61,9 @@ def _one(row: dict[str, Any], config: dict[str, Any], root: str) -> dict[str, An
 
 
 def _batch(rows: list[dict[str, Any]], made: list[dict[str, Any]]) -> pa.RecordBatch:
-    told = [{**{c: r.get(c) for c in CARRIED}, **m, "replacement": r.get("replacement_for") or ""} for r, m in zip(rows, made, strict=True)]
-    types = [pa.binary() if n in FILES else pa.string() for n in _NAMES]
+    peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss * 1024  # A10
+    told = [{**{c: r.get(c) for c in CARRIED}, **m, "replacement": r.get("replacement_for") or "", "rss": peak} for r, m in zip(rows, made, strict=True)]
+    types = [pa.binary() if n in FILES else pa.int64() if n == "rss" else pa.string() for n in _NAMES]
     return pa.RecordBatch.from_arrays([pa.array([t.get(n) for t in told], t_) for n, t_ in zip(_NAMES, types, strict=True)], names=_NAMES)
 
 
@@ -342,6 +344,7 @@ def generate(spark: SparkSession, root: str, config: dict[str, Any], plan: str |
         "counts": by("modality", "quality_label"),
         "failure_case_counts": {k: v for k, v in by("modality", "failure_case").items() if not k.endswith("_")},
         "generation_elapsed_seconds": took, "average_sample_seconds": took / max(n, 1), "generation_samples_per_second": n / took,  # A9
+        "worker_peak_rss_bytes_observed": samples.agg(F.max("rss")).first()[0] or 0,
         "serialization": {"json": "UTF-8, sorted keys, compact separators, LF", "jpeg": f"baseline q{int(config['jpeg_quality'])}, no subsampling"},
     }
     atomic_write(out / "generation_summary.json", pretty_json(summary))

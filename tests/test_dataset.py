@@ -295,3 +295,24 @@ def test_command_line(spark, raw, tmp_path, capsys):
         cli.main(["generate", *args, "--output", "x", "--plan", "y", "--drop-cases", "nope"], spark)
     assert "Unknown failure case: nope" in capsys.readouterr().err
     assert [cli.format_duration(s) for s in (None, -1, 59.6, 3600, 61)] == ["계산 중", "계산 중", "01:00", "01:00:00", "01:01"]
+
+
+def test_stages_of_a_run(spark, raw, tmp_path, caplog):
+    from marlspark.plans import run
+
+    for stage in ("plan", "smoke", "generate"):
+        result = run.run_stage(spark, stage, str(raw), config_of(), tmp_path / "run", smoke=2)
+    assert sum(result["counts"].values()) == 8 and json.loads((tmp_path / "run" / "status.json").read_text())["state"] == "done"
+    assert json.loads((tmp_path / "run" / "measured.json").read_text())["worker_peak_rss_bytes"] > 0
+    n = run.run_stage(spark, "upload", str(raw), config_of(), tmp_path / "run", tmp_path / "out")["files"]
+    assert n == sum(p.is_file() for p in (tmp_path / "run" / "output").rglob("*")) == sum(p.is_file() for p in (tmp_path / "out").rglob("*"))
+    first, archives, tree = run.waves(tmp_path / "run" / "output")
+    assert [p.suffix for p in archives] == [".zip"] and len(tree) == 20 and any(p.name == "dataset_manifest.csv" for p in first)
+    with pytest.raises(ValueError, match="not empty"):
+        run.run_stage(spark, "generate", str(raw), config_of(), tmp_path / "run")
+    assert json.loads((tmp_path / "run" / "status.json").read_text())["state"] == "failed"
+    with pytest.raises(ValueError, match="no worker memory"):
+        run.measured_config({}, {})
+    bar = run.Progress(cli.logger_of("marlspark.test", tmp_path / "x.log"), "pairs", 100, every=10, seconds=30, began=0.0)
+    assert [bar.update(k, now=float(t)) for k, t in ((1, 1), (10, 2), (15, 3), (16, 40), (100, 41))] == [False, True, False, True, True]
+    assert len((tmp_path / "x.log").read_text().splitlines()) == 3
