@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlspark.functions.names import reason_prefix
+from marlspark.functions.names import parse_stem, reason_prefix
 from marlspark.kernels import codec
 from marlspark.kernels.shapes import label_region, porosity_metric, rings_of
 from marlspark.operators import relational as R
@@ -247,8 +247,6 @@ def scan(spark: SparkSession, root: str, config: dict[str, Any], reuse: str | No
     preflight(state, groups, int(config.get("preflight_per_stratum", 25)), int(config.get("preflight_repeated_error_limit", 5)))
     rows = settle(without_copies(state), "states")
     circuit_breaker(rows, int(config.get("systemic_consecutive_limit", 20)), int(config.get("systemic_cumulative_limit", 100)))
-    from marlspark.functions.names import parse_stem
-
     rows = rows.withColumn("_n", parse_stem(F.col("image_stem")))
     named = rows.withColumns({"battery_id": F.col("_n.battery_id"), "image_id": F.col("_n.image_id")})
     told = named.drop("_n").unionByName(unpaired(groups), allowMissingColumns=True)
