@@ -55,8 +55,8 @@ def _rectangle(kind, x0, y0, x1, y1):
 
 @query("""WITH p AS (SELECT p_partkey, p_partkey % 40 - 10 AS x0, p_size AS w, p_partkey % 6 AS kind FROM part),
     c AS (SELECT *, greatest(least(x0 + w, 20) - greatest(x0, 0), 0) AS dx, least(w, 30) AS dy FROM p)
-    SELECT p_partkey, CASE WHEN kind = 5 THEN NULL WHEN kind = 4 THEN 0.0::DOUBLE WHEN dx > 0 THEN round(dx / 20.0 * (dy / 30.0), 9) ELSE 0.0 END AS share,
-    CASE WHEN kind = 5 THEN NULL WHEN kind = 4 OR dx = 0 THEN 0 ELSE 1 END AS parts,
+    SELECT p_partkey, CASE WHEN kind = 5 THEN NULL WHEN kind = 4 THEN 0.0::DOUBLE WHEN dx > 0 THEN round(dx / 20.0::DOUBLE * (dy / 30.0::DOUBLE), 9) ELSE 0.0::DOUBLE END AS share,
+    CASE WHEN kind = 5 THEN NULL WHEN kind = 4 OR dx = 0 THEN 0::BIGINT ELSE 1::BIGINT END AS parts,
     CASE WHEN kind = 5 THEN 'ValueError: unsupported_points_schema: flat coordinates need >= 3 x/y pairs' ELSE '' END AS error FROM c""")
 def ring_metrics(spark, sf):
     """Rings in four encodings, none, or too few points, clipped to a box of 20 by 30."""
@@ -66,8 +66,8 @@ def ring_metrics(spark, sf):
     return I.ring_shares(df, ["p_partkey"], "points", "box").withColumn("share", F.round("share", 9))
 
 
-@query("""WITH p AS (SELECT p_partkey, p_size AS w, p_partkey % 4 AS kind FROM part), m AS (SELECT *, least(0.5 * w + 1, 20) - 1 AS dx, least(2.0 * w, 40) AS dy FROM p)
-    SELECT p_partkey, CASE WHEN dx * dy >= 1 THEN 1 ELSE 0 END AS rings, CASE WHEN dx * dy >= 1 THEN round(dx * dy, 6) ELSE 0 END AS area, '' AS error FROM m""")
+@query("""WITH p AS (SELECT p_partkey, p_size AS w, p_partkey % 4 AS kind FROM part), m AS (SELECT *, least(0.5::DOUBLE * w + 1, 20) - 1 AS dx, least(2.0::DOUBLE * w, 40) AS dy FROM p)
+    SELECT p_partkey, CASE WHEN dx * dy >= 1 THEN 1::BIGINT ELSE 0::BIGINT END AS rings, CASE WHEN dx * dy >= 1 THEN round((dx * dy)::DOUBLE, 6) ELSE 0.0::DOUBLE END AS area, '' AS error FROM m""")
 def moved_label_rings(spark, sf):
     """squares under a matrix, clipped to a frame of 20 by 40; those under a pixel go."""
     kind, w = F.col("p_partkey") % 4, F.col("p_size")
