@@ -79,10 +79,10 @@ def fingerprints(w: Words, block: int = 1 << 15) -> np.ndarray:
     rows = [np.unique(w.hash[a : a + c], return_counts=True) for a, c in zip(w.first.tolist(), w.count.tolist(), strict=True)]
     small = [t for t, _ in rows if 0 < len(t) <= block]
     drawn, at = None, 0
-    if small and sum(map(len, small)) <= 8 * block:
-        # words that texts of a batch share are drawn for once
+    if small:
+        # words that texts of a batch share are drawn for once, unless they are too many
         terms, place = np.unique(np.concatenate(small), return_inverse=True)
-        drawn = _draws(terms)
+        drawn = _draws(terms) if len(terms) <= 4 * block else None
     for i, (t, n) in enumerate(rows):
         if not len(t):
             continue
