@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlspark.llm.fingerprint import edit_report
+from marlspark.llm.frames import written
 from marlspark.llm.host_rules import rule_report
 from marlspark.llm.lm_score import score_texts
 from marlspark.llm.mixing import schedule
 from marlspark.llm.near_dedup import near_duplicates
 from marlspark.llm.packing import pack_texts
-from marlspark.llm.quality_rank import learn, score_quality
+from marlspark.llm.quality_rank import described, learn, score_quality
 from marlspark.llm.sharding import assign_shards
 from marlspark.llm.suffix_dedup import remove_repeats
 from marlspark.llm.token_counts import count_tokens
@@ -56,9 +57,10 @@ def op4_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    ranker = learn(docs, labels, of=id_mod(5) != 0)
-    return score_quality(docs, ranker, keep={"doc_id": F.col("doc_id"), "held_out": F.coalesce(id_mod(5) == 0, F.lit(False))})
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = written(described(documents(spark, sf_dir), to="features", keep={"doc_id": F.col("doc_id")}), "quality-features")
+    ranker = learn(docs, labels, described_as="features", of=id_mod(5) != 0)
+    return score_quality(docs, ranker, described_as="features", keep={"doc_id": F.col("doc_id"), "held_out": F.coalesce(id_mod(5) == 0, F.lit(False))})
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

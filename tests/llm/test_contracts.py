@@ -296,6 +296,82 @@ def test_op5_weights_minimise_the_loss_over_all_pairs():
     assert ((ranker.score(x) >= 0.3) == (told >= ranker.threshold)).all()
 
 
+def pair_loss(z, good, w):
+    """The mean loss over every pair and its gradient, a good row at a time."""
+    told, above, below = z @ w, z[good], z[~good]
+    value, slope = 0.0, np.zeros(len(w))
+    for row, t in zip(above, told[good], strict=True):
+        u = told[~good] - t
+        value += np.logaddexp(0, u).sum()
+        p = 1 / (1 + np.exp(-u))
+        slope += p @ below - p.sum() * row
+    n = len(above) * len(below)
+    return value / n + 0.5e-3 * (w @ w), slope / n + 1e-3 * w
+
+
+@pytest.mark.parametrize("apart", [1.0, 40.0])
+def test_op5_learns_from_all_pairs(apart):
+    """More pairs than may be listed: the gradient over all of them vanishes, and listed pairs give the same weights."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(800, 4))
+    good = x @ [1.0, -0.5, 0.2, 0.0] * apart + rng.normal(size=800) > 0
+    assert good.sum() * (~good).sum() > 60_000
+    got, listed = quality_rank.fit(x, good, cut=0.3), quality_rank.fit(x, good, cut=0.3, pairs=10**9)
+    z = np.clip((x - got.mean) / got.scale, -6, 6)
+    assert np.abs(pair_loss(z, good, got.weight)[1]).max() < 1e-9
+    assert np.allclose(got.weight, listed.weight, rtol=0, atol=1e-8) and abs(got.threshold - listed.threshold) < 1e-6
+
+
+def test_op5_loss_by_nodes_is_that_of_the_pairs():
+    rng = np.random.default_rng(10)
+    z = rng.normal(size=(90, 3))
+    good = rng.random(90) < 0.4
+    for w in (np.zeros(3), np.array([0.3, -2.0, 1.0]), np.array([90.0, -30.0, 5.0])):
+        got = quality_rank.PairLoss(lambda make: make(z, good), np.zeros(3), np.ones(3), w)
+        listed = quality_rank.ListedPairs(z, good, w)
+        assert abs(got.pairs - listed.pairs) < 1e-8 and abs(got.loss - listed.loss) < 1e-9 * (1 + listed.loss)
+        assert np.allclose(got.gradient, listed.gradient, atol=1e-8) and np.allclose(got.hessian(), listed.hessian(), atol=1e-8)
+
+
+def test_op5_cut_is_best_over_all_scores():
+    rng = np.random.default_rng(11)
+    for n in (1, 2, 9, 60):
+        for _ in range(40):
+            score, good = rng.integers(0, 12, n) / 4, rng.random(n) < rng.random()
+            values, at = np.unique(score, return_inverse=True)
+            net = np.bincount(at, np.where(good, -1, 1))
+            right = lambda t: int(((score >= t) == good).sum())  # noqa: E731, B023
+            most = max(map(right, [-1, *(values + 0.1)]))
+            for size in (1, 3, 100):
+                ranges = [quality_rank.gaps(values[a : a + size], net[a : a + size]) for a in range(0, len(values), size)]
+                assert right(quality_rank.best_cut(ranges)) == most
+            assert quality_rank.best_cut([quality_rank.gaps(values, net)]) == quality_rank.best_cut(ranges)
+
+
+def test_op5_learns_from_all_labels(spark):
+    """More labels than 20,000, those of the least hashes of one kind only: the others decide. Parts of the table change nothing."""
+    n = 20_600
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h")).toPandas().sort_values("h", ignore_index=True)
+    rows["quality"] = (rows.index < 20_000).astype(int)
+    rows["text"] = "word " + rows.doc_id.astype(str) + np.where(rows.quality == 1, " more.", " | # !")
+    noise = rows.doc_id % 10 == 0
+    rows.loc[noise, "text"] = "word " + rows.doc_id.astype(str)
+    table = spark.createDataFrame(rows[["doc_id", "text", "quality"]])
+    got = quality_rank.learn(table.repartition(7), table)
+    raw = [t.encode() for t in rows.text]
+    x = quality_rank.features(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in raw])])).astype(np.float32).astype(float)
+    good = rows.quality.to_numpy() == 1
+    whole = quality_rank.fit(x, good, cut=0.3)
+    assert np.allclose(got.mean, whole.mean) and np.allclose(got.weight, whole.weight, atol=1e-6) and abs(got.threshold - whole.threshold) < 1e-5
+    z = np.clip((x - got.mean) / got.scale, -6, 6)
+    assert np.abs(pair_loss(z, good, got.weight)[1]).max() < 1e-8
+    told = quality_rank.score_quality(table, got, keep={"doc_id": F.col("doc_id")}).toPandas().set_index("doc_id").predicted
+    assert (told[rows.doc_id[~noise]].to_numpy() == good[~noise]).all()
+    made = quality_rank.described(table.repartition(3), to="f", keep={"doc_id": F.col("doc_id")})
+    again = quality_rank.learn(made, table, described_as="f")
+    assert (again.weight == got.weight).all() and again.threshold == got.threshold
+
+
 def test_op5_odd(table, odd):
     labels = odd.select("doc_id", F.pmod("doc_id", F.lit(2)).cast("int").alias("quality"))
     for of in (None, F.lit(False), F.col("quality") == 1):
